@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
+
 RUN = ("run_id", "source", "dataset", "ingest_ts", "date")
 
 
-def run_manifest(records: DataFrame, status: str = "success") -> DataFrame:
-    """One manifest row per run with the number of its records."""
+def history_points() -> Column:
+    """How many [time, price] points a history response carries."""
+    points = F.from_json("data", S.HISTORY_PAYLOAD)["prices"]
+    return F.coalesce(F.size(points), F.lit(0))
+
+
+def run_manifest(
+    records: DataFrame, status: str = "success", size: Column | None = None
+) -> DataFrame:
+    """One manifest row per run; ``size`` is what each response counts for."""
+    size = F.lit(1) if size is None else size
     return (
         records.groupBy(*RUN)
-        .agg(F.count(F.lit(1)).alias("record_count"))
+        .agg(F.sum(size.cast("bigint")).alias("record_count"))
         .withColumn("status", F.lit(status))
     )
 

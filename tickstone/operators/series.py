@@ -104,7 +104,8 @@ def along_series(
     # that chunk has a row among the next ``lookback`` tail rows.
     ahead = Window.partitionBy(*keys).orderBy(*oldest_first).rowsBetween(1, lookback)
     copies = (
-        tails.withColumn("_to", F.explode(F.collect_set(CHUNK).over(ahead)))
+        tails.withColumn("_to", F.collect_set(CHUNK).over(ahead))
+        .withColumn("_to", F.explode("_to"))
         .filter(F.col("_to") != F.col(CHUNK))
         .withColumn(CHUNK, F.col("_to"))
         .drop("_to")

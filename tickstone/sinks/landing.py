@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ledger import RUN, run_manifest
 
 
-def envelope(df: DataFrame) -> Column:
-    """The record as one JSON line; ``data`` goes in as the JSON it already is."""
-    head = F.to_json(F.struct(*(c for c in df.columns if c not in ("data", "date", "unit"))))
+def _json_line(df: DataFrame, fields: list[str]) -> Column:
+    """The fields as a JSON object with ``data`` spliced in as the JSON it is."""
+    head = F.to_json(F.struct(*fields))
+    opened = F.regexp_replace(head, r"\}$", "")
+    # Line breaks can only stand between tokens of JSON text, never in them.
     body = F.regexp_replace(F.coalesce("data", F.lit("null")), r"[\r\n]+", " ")
-    return F.concat(F.expr("left(_head, length(_head) - 1)"), F.lit(',"data":'), body, F.lit("}"))
+    return F.concat(opened, F.lit(',"data":'), body, F.lit("}"))
 
 
 def land_bronze(
@@ -22,39 +22,37 @@ def land_bronze(
     root: str,
     source: str,
     dataset: str,
-    unit: str | None = None,
-    date: Column | None = None,
+    unit: tuple[str, str] | None = None,
 ) -> None:
     """Append responses below ``<root>/<source>/<dataset>/date=…/[unit=…/]run_id=…``.
 
-    ``records`` holds the envelope fields with ``data`` as JSON text and a
-    ``date`` column; ``unit`` names a column, such as ``symbol``, that gets a
-    folder level of its own.
+    ``records`` holds the envelope fields, ``data`` as JSON text, and the
+    ingestion ``date``.  ``unit`` is the name of a further folder level and the
+    column it takes its values from, such as ``("symbol", "request.symbol")``.
     """
-    folders = ["date", *([unit] if unit else []), "run_id"]
-    fields = [c for c in records.columns if c not in ("data", "date", unit)]
-    head = F.to_json(F.struct(*fields))
-    body = F.regexp_replace(F.coalesce("data", F.lit("null")), r"[\r\n]+", " ")
-    line = F.concat(F.expr("left(_h, length(_h) - 1)"), F.lit(',"data":'), body, F.lit("}"))
+    fields = [c for c in records.columns if c not in ("data", "date")]
+    folders = [F.col("date"), F.col("run_id")]
+    if unit is not None:
+        folders.insert(1, F.col(unit[1]).alias(unit[0]))
+    names = ["date", *([unit[0]] if unit else []), "run_id"]
     (
-        records.withColumn("_h", head)
-        .select(line.alias("value"), *folders)
+        records.select(_json_line(records, fields).alias("value"), *folders)
         .write.mode("append")
         .option("compression", "gzip")
-        .partitionBy(*folders)
+        .partitionBy(*names)
         .text(f"{root.rstrip('/')}/{source}/{dataset}")
     )
 
 
-def write_manifests(records: DataFrame, root: str, source: str, dataset: str) -> None:
-    """Append one manifest per run of ``records`` (see ``run_manifest``)."""
-    path = f"{root.rstrip('/')}/{source}/{dataset}"
+def write_manifests(
+    records: DataFrame, root: str, source: str, dataset: str, size: Column | None = None
+) -> None:
+    """Append one manifest per run of ``records`` next to its data."""
+    manifest = run_manifest(records, size=size)
     line = F.to_json(F.struct(*RUN, "record_count", "status")).alias("value")
-    folders = ["date", "run_id"]
     (
-        run_manifest(records)
-        .select(line, *folders)
+        manifest.select(line, "date", "run_id")
         .write.mode("append")
-        .partitionBy(*folders)
-        .text(path)
+        .partitionBy("date", "run_id")
+        .text(f"{root.rstrip('/')}/{source}/{dataset}")
     )

@@ -13,8 +13,16 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import not_blank
+from ..functions import not_blank, wall_clock_utc
 from ..functions.scratch import scratch_path
+from ..operators.history import (
+    CHANGE,
+    CLOSED,
+    OPENED,
+    is_current,
+    scd2_bootstrap,
+    scd2_changes,
+)
 from ..operators.latest import dedupe_latest
 from ..sources.files import read_table
 
@@ -47,13 +55,28 @@ def write_partitioned(
     return written.get["rows"]
 
 
-def stage(df: DataFrame, partitions: Sequence[str] = S.PARTITIONS) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
+def stage(df: DataFrame, partitions: Sequence[str] = S.PARTITIONS) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder and read back, and its row count."""
     spark = df.sparkSession
     df = _storable(df, partitions)
-    path = scratch_path(spark, "stage")
-    df.write.option("compression", "snappy").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, written = scratch_path(spark, "stage"), Observation()
+    (
+        df.observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.option("compression", "snappy")
+        .parquet(path)
+    )
+    return spark.read.schema(df.schema).parquet(path), written.get["rows"]
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS
+) -> int:
+    """``write_partitioned`` for rows derived from the very table at ``path``."""
+    staged, rows = stage(df, partitions)
+    written = write_partitioned(staged, path, partitions)
+    if written != rows:
+        raise RuntimeError(f"{path}: staged {rows} rows but wrote {written}")
+    return written
 
 
 def in_partitions_of(
@@ -80,21 +103,57 @@ def upsert(
     """Merge rows into a table: the newest row per key stays, and rows of other
     sources in the same partition survive.  Returns the rows of the partitions
     rewritten."""
-    spark = df.sparkSession
-    fresh = stage(dedupe_latest(df.select(*schema.fieldNames()), keys), partitions)
-    stored = read_table(spark, path, schema)
-    if stored is None:
-        return write_partitioned(fresh, path, partitions)
-    merged = dedupe_latest(
-        in_partitions_of(stored, fresh, partitions).unionByName(fresh), keys
+    fresh, rows = stage(dedupe_latest(df.select(*schema.fieldNames()), keys), partitions)
+    stored = read_table(df.sparkSession, path, schema)
+    if stored is None or not rows:
+        return write_partitioned(fresh, path, partitions) if rows else 0
+    merged = in_partitions_of(stored, fresh, partitions).unionByName(fresh)
+    return replace_partitions(dedupe_latest(merged, keys), path, partitions)
+
+
+def apply_versions(
+    incoming: DataFrame,
+    path: str,
+    schema,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    partitions: Sequence[str] = S.PARTITIONS,
+    **options,
+) -> dict[str, int]:
+    """Apply a batch to a stored history; returns versions opened and closed.
+
+    Only the partitions of those versions are rewritten.  The history is read
+    in full for its current versions, but only closed and opened ones are
+    written twice.
+    """
+    history = read_table(incoming.sparkSession, path, schema)
+    if history is None:
+        first = scd2_bootstrap(incoming, keys, tracked, **options)
+        columns = schema.fieldNames()
+        return {OPENED: write_partitioned(first.select(*columns), path, partitions), CLOSED: 0}
+
+    changes, rows = stage(scd2_changes(incoming, history, keys, tracked, **options), partitions)
+    if not rows:
+        return {OPENED: 0, CLOSED: 0}
+    opened = changes.filter(F.col(CHANGE) == OPENED).count()
+    around = in_partitions_of(history, changes, partitions)
+    replaced = changes.filter(F.col(CHANGE) == CLOSED).select(F.struct(*keys).alias("_key"))
+    still_current = (
+        around.filter(is_current())
+        .withColumn("_key", F.struct(*keys))
+        .join(replaced, "_key", "left_anti")
+        .drop("_key")
+    )
+    rewritten = (
+        around.filter(~is_current()).unionByName(still_current).unionByName(changes.drop(CHANGE))
     )
-    return write_partitioned(stage(merged, partitions), path, partitions)
+    replace_partitions(rewritten, path, partitions)
+    return {OPENED: opened, CLOSED: rows - opened}
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
     """Predictions as JSON lines with the time they were made."""
     now = F.date_format(
-        F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp()),
-        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'",
+        wall_clock_utc(F.current_timestamp()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
     )
     predictions.withColumn("generated_at", now).write.mode("overwrite").json(path)

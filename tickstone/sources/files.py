@@ -11,6 +11,12 @@ from .. import schemas as S
 from ..functions import instant
 
 
+# Responses are gzip files.  Manifests lie beside them, either by that name or
+# as the text files ``write_manifests`` leaves.
+BRONZE_FILES = "*.gz"
+MANIFEST_FILES = "{manifest*.json,part-*.txt}"
+
+
 def _or_none(make):
     """The frame ``make`` builds, or None where its path does not exist.
 
@@ -47,7 +53,7 @@ def read_bronze(
     Folders may or may not have a ``symbol=`` or ``coin=`` level.  Lines that
     are not valid JSON keep their text in ``_corrupt_record``.
     """
-    df = _files(spark, root, date, "*.gz", S.BRONZE)
+    df = _files(spark, root, date, BRONZE_FILES, S.BRONZE)
     if df is None:
         df = spark.createDataFrame([], S.BRONZE).withColumn("input_file", F.lit(""))
     else:
@@ -87,7 +93,7 @@ def read_predictions_document(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
     """Manifests of successful runs."""
-    df = _files(spark, root, date, "manifest*.json", S.MANIFEST)
+    df = _files(spark, root, date, MANIFEST_FILES, S.MANIFEST)
     if df is None:
         df = spark.createDataFrame([], S.MANIFEST)
     return df.filter(F.col("status") == "success")
