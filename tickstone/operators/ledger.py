@@ -49,7 +49,8 @@ def successful_responses(responses: DataFrame) -> DataFrame:
 def calendar_days(spark: SparkSession, first: str, last: str) -> DataFrame:
     """Every day from ``first`` to ``last``, both included, as text."""
     days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    return spark.range(1).select(F.explode(days).cast("string").alias("date"))
+    listed = spark.range(1).select(F.explode(days).alias("date"))
+    return listed.select(F.col("date").cast("string"))
 
 
 def backfill_days(

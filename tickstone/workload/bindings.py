@@ -118,16 +118,9 @@ v AS (SELECT * FROM (
 SERIES = 'asset_type, symbol, "interval", currency'
 
 
-def rounded(df: DataFrame, digits: int) -> DataFrame:
-    """Doubles rounded, so that two engines' last bits do not matter."""
-    return df.select(
-        *(
-            F.round(f"`{f.name}`", digits).alias(f.name)
-            if f.dataType.typeName() == "double"
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        )
-    )
+def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Computed columns rounded, so that two engines' last bits do not matter."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 # --- bronze: the same rows as JSON responses -------------------------------

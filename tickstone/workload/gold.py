@@ -75,12 +75,12 @@ def returns_by_symbol(spark, sf):
 
 @query(f"{_CANDLE_RETURNS}, {B.volatility_sql(B.SERIES)} {_volatility_out(6)}")
 def volatility_30(spark, sf):
-    return B.rounded(R.volatility_from_bars(daily_bars(spark, sf), long_series=None), 6)
+    return B.rounded(R.volatility_from_bars(daily_bars(spark, sf), long_series=None), 6, "volatility")
 
 
 @query(f"{_QUOTE_RETURNS}, {B.volatility_sql(B.SERIES)} {_volatility_out(4)}")
 def volatility_quotes(spark, sf):
-    return B.rounded(R.volatility_from_bars(quote_bars(spark, sf)), 4)
+    return B.rounded(R.volatility_from_bars(quote_bars(spark, sf)), 4, "volatility")
 
 
 @query(f"""
@@ -88,7 +88,7 @@ WITH {_CURRENCY_QUOTES}, {B.returns_sql('q', 'price', 'symbol')}, {B.volatility_
 {_volatility_out(4, columns=_BY_SYMBOL)}""")
 def volatility_by_symbol(spark, sf):
     quotes = B.quotes(spark, sf, F.col("event_type"), currency=B.three_currencies())
-    return B.rounded(R.volatility_from_bars(R.bars_from_quotes(quotes), keys=["symbol"]), 4)
+    return B.rounded(R.volatility_from_bars(R.bars_from_quotes(quotes), keys=["symbol"]), 4, "volatility")
 
 
 @query(f"""
@@ -100,7 +100,7 @@ WITH q AS (SELECT ts AS ts_utc, event_type AS asset_type, CAST(user_id AS VARCHA
 def volatility_min_obs_edge(spark, sf):
     """Short series, many of them just below or above the required count."""
     bars = R.bars_from_quotes(B.quotes(spark, sf, F.col("event_type")))
-    return B.rounded(R.volatility_from_bars(bars, window_rows=12, min_obs=10), 4)
+    return B.rounded(R.volatility_from_bars(bars, window_rows=12, min_obs=10), 4, "volatility")
 
 
 @query(f"""
@@ -113,7 +113,7 @@ both_kinds AS (SELECT ts_utc, asset_type, symbol, "interval", currency, "close",
 def volatility_all_bars(spark, sf):
     """Candles and quotes together: one exchange for both kinds and windows."""
     bars = R.price_bars(B.candles(spark, sf), B.quotes(spark, sf))
-    return B.rounded(R.volatility_from_bars(bars), 4)
+    return B.rounded(R.volatility_from_bars(bars), 4, "volatility")
 
 
 @query(f"{_CANDLE_RETURNS} {_RETURNS_OUT} WHERE \"date\" >= '1999-01-01'")
@@ -127,7 +127,7 @@ def returns_since(spark, sf):
 )
 def volatility_since(spark, sf):
     made = R.returns(daily_bars(spark, sf), long_series=None)
-    return B.rounded(R.volatility_since(made, "1999-01-01", long_series=None), 6)
+    return B.rounded(R.volatility_since(made, "1999-01-01", long_series=None), 6, "volatility")
 
 
 _FEW_SERIES = f"""
@@ -146,4 +146,4 @@ def few_series(spark, sf):
 def volatility_long_series(spark, sf):
     """Long series cut into chunks that carry the rows their windows reach."""
     bars, limit = few_series(spark, sf)
-    return B.rounded(R.volatility_from_bars(bars, long_series=limit), 4)
+    return B.rounded(R.volatility_from_bars(bars, long_series=limit), 4, "volatility")
