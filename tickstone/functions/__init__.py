@@ -1,5 +1,6 @@
 from .scalar import (
     action,
+    folder_value,
     instant,
     instant_of_millis,
     iso_utc,
@@ -12,6 +13,6 @@ from .scalar import (
 )
 
 __all__ = [
-    "action", "instant", "instant_of_millis", "iso_utc", "not_blank", "number",
+    "action", "folder_value", "instant", "instant_of_millis", "iso_utc", "not_blank", "number",
     "row_hash", "row_hash_plain", "utc_day", "wall_clock_utc",
 ]

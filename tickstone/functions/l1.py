@@ -14,6 +14,7 @@ import pandas as pd
 
 _SWEEPS = 60
 _TOLERANCE = 1e-10
+_RIDGE = 1e-11
 
 
 def solve_l1(gram: np.ndarray, cov: np.ndarray, alpha: float) -> np.ndarray:
@@ -50,6 +51,7 @@ def _optimal(g, c, penalty, w):
 
 def _active_set(g, c, penalty, w, steps: int = 500):
     """Feature-sign search (Lee et al., 2007) from a starting point."""
+    g = g + _RIDGE * np.eye(len(w))  # dependent features: one optimum of many
     tolerance = _TOLERANCE * (np.abs(c).max() + penalty.min())
     w, sign = w.copy(), np.sign(w)
 
@@ -69,26 +71,15 @@ def _active_set(g, c, penalty, w, steps: int = 500):
             on = np.flatnonzero(sign)
         part = g[np.ix_(on, on)]
         want = (c - penalty * sign)[on]
-        goal = np.linalg.lstsq(part, want, rcond=1e-13)[0]
-        rest = want - part @ goal
-        bounded = np.abs(rest).max() <= 1e-9 * (np.abs(want).max() + tolerance)
-        # Where the active variables are dependent the way down has no end
-        # short of a sign change.
-        way = goal - w[on] if bounded else rest
+        way = np.linalg.solve(part, want) - w[on]
         with np.errstate(divide="ignore", invalid="ignore"):
             cross = np.where(way != 0, -w[on] / way, np.inf)
-        stops = cross[(cross > 0) & (cross < (1.0 if bounded else np.inf))]
-        if bounded:
-            stops = np.append(stops, 1.0)
-        if not len(stops):
-            return w
+        stops = np.append(cross[(cross > 0) & (cross < 1)], 1.0)
         trials = np.tile(w, (len(stops), 1))
         moved = w[on] + stops[:, None] * way
         trials[:, on] = np.where(cross == stops[:, None], 0.0, moved)
         values = objective(trials)
         best = trials[int(np.argmin(values))]
-        if values.min() > objective(w[None])[0] + tolerance**2:
-            return w
         w, sign = best, np.sign(best)
     return w
 

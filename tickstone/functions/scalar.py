@@ -67,6 +67,19 @@ def not_blank(text: Column) -> Column:
     return F.when(F.trim(text) != "", text)
 
 
+def folder_value(path: Column, level: str) -> Column:
+    """The value of a ``level=`` folder in a file's address, or null.
+
+    The address is percent-encoded, and a folder Spark named may be escaped
+    once more underneath; a plus sign stands for itself.
+    """
+    value = not_blank(F.regexp_extract(path, f"{level}=([^/]+)", 1))
+    for _ in range(2):
+        plain = F.regexp_replace(value, r"\+", "%2B")
+        value = F.coalesce(F.try_url_decode(plain), value)
+    return value
+
+
 def action(value: Column, band: float) -> Column:
     """buy above ``band``, sell below ``-band``, hold from one to the other."""
     return F.when(value > band, "buy").when(value < -band, "sell").otherwise("hold")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import instant, instant_of_millis, not_blank, number, utc_day
+from ..functions import folder_value, instant, instant_of_millis, not_blank, number, utc_day
 
 PRICE_COLUMNS = S.PRICES.fieldNames()
 CANDLE_COLUMNS = S.CANDLES.fieldNames()
@@ -126,7 +126,7 @@ def candles(bronze: DataFrame) -> DataFrame:
     )
     folder = F.lit(None).cast("string")
     if "input_file" in bronze.columns:
-        folder = F.url_decode(not_blank(F.regexp_extract("input_file", r"symbol=([^/]+)", 1)))
+        folder = folder_value(F.col("input_file"), "symbol")
     symbol = F.coalesce(
         not_blank(F.col("_p.meta.symbol")), not_blank(F.col("request.symbol")),
         folder, F.lit(S.UNKNOWN),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ledger import RUN, run_manifest
+from .layout import by_folder
 
 
 def _json_line(df: DataFrame, fields: list[str]) -> Column:
@@ -35,8 +36,9 @@ def land_bronze(
     if unit is not None:
         folders.insert(1, F.col(unit[1]).alias(unit[0]))
     names = ["date", *([unit[0]] if unit else []), "run_id"]
+    lines = records.select(_json_line(records, fields).alias("value"), *folders)
     (
-        records.select(_json_line(records, fields).alias("value"), *folders)
+        by_folder(lines, names)
         .write.mode("append")
         .option("compression", "gzip")
         .partitionBy(*names)
@@ -51,7 +53,7 @@ def write_manifests(
     manifest = run_manifest(records, size=size)
     line = F.to_json(F.struct(*RUN, "record_count", "status")).alias("value")
     (
-        manifest.select(line, "date", "run_id")
+        by_folder(manifest.select(line, "date", "run_id"), ["date", "run_id"])
         .write.mode("append")
         .partitionBy("date", "run_id")
         .text(f"{root.rstrip('/')}/{source}/{dataset}")

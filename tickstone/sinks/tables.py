@@ -25,6 +25,7 @@ from ..operators.history import (
 )
 from ..operators.latest import dedupe_latest
 from ..sources.files import read_table
+from .layout import by_folder
 
 
 def _storable(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -33,28 +34,6 @@ def _storable(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.withColumns(names)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS
-) -> int:
-    """Replace the partitions ``df`` has rows for; returns the rows written.
-
-    Rows of a partition are brought together before the write, so a partition
-    gets few files; the rebalance splits a partition too big for one task.
-    """
-    written = Observation()
-    (
-        _storable(df, partitions)
-        .hint("rebalance", *partitions)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-    return written.get["rows"]
-
-
 def stage(df: DataFrame, partitions: Sequence[str] = S.PARTITIONS) -> tuple[DataFrame, int]:
     """``df`` written to the shared folder and read back, and its row count."""
     spark = df.sparkSession
@@ -68,15 +47,32 @@ def stage(df: DataFrame, partitions: Sequence[str] = S.PARTITIONS) -> tuple[Data
     return spark.read.schema(df.schema).parquet(path), written.get["rows"]
 
 
-def replace_partitions(
+def write_partitioned(
     df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS
 ) -> int:
-    """``write_partitioned`` for rows derived from the very table at ``path``."""
-    staged, rows = stage(df, partitions)
-    written = write_partitioned(staged, path, partitions)
-    if written != rows:
-        raise RuntimeError(f"{path}: staged {rows} rows but wrote {written}")
-    return written
+    """Replace the partitions ``df`` has rows for; returns the rows written.
+
+    The rows are staged first, so ``df`` may derive from the table at ``path``.
+    """
+    return _replace(*stage(df, partitions), path, partitions)
+
+
+def _replace(staged: DataFrame, rows: int, path: str, partitions: Sequence[str]) -> int:
+    if not rows:
+        return 0
+    written = Observation()
+    (
+        by_folder(staged, partitions)
+        .observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
+    if written.get["rows"] != rows:
+        raise RuntimeError(f"{path}: staged {rows} rows but wrote {written.get['rows']}")
+    return rows
 
 
 def in_partitions_of(
@@ -104,11 +100,11 @@ def upsert(
     sources in the same partition survive.  Returns the rows of the partitions
     rewritten."""
     fresh, rows = stage(dedupe_latest(df.select(*schema.fieldNames()), keys), partitions)
-    stored = read_table(df.sparkSession, path, schema)
-    if stored is None or not rows:
-        return write_partitioned(fresh, path, partitions) if rows else 0
+    stored = read_table(df.sparkSession, path, schema) if rows else None
+    if stored is None:
+        return _replace(fresh, rows, path, partitions)
     merged = in_partitions_of(stored, fresh, partitions).unionByName(fresh)
-    return replace_partitions(dedupe_latest(merged, keys), path, partitions)
+    return write_partitioned(dedupe_latest(merged, keys), path, partitions)
 
 
 def apply_versions(
@@ -147,7 +143,7 @@ def apply_versions(
     rewritten = (
         around.filter(~is_current()).unionByName(still_current).unionByName(changes.drop(CHANGE))
     )
-    replace_partitions(rewritten, path, partitions)
+    write_partitioned(rewritten, path, partitions)
     return {OPENED: opened, CLOSED: rows - opened}
 
 

@@ -45,6 +45,12 @@ def _files(spark: SparkSession, root: str, date: str | None, name: str, schema:
     return _or_none(lambda: reader.json(path))
 
 
+def bronze_files(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
+    """Landed responses as they lie in their files."""
+    df = _files(spark, root, date, BRONZE_FILES, S.BRONZE)
+    return spark.createDataFrame([], S.BRONZE) if df is None else df
+
+
 def read_bronze(
     spark: SparkSession, root: str, date: str | None = None, source: str | None = None
 ) -> DataFrame:

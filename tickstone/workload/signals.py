@@ -141,7 +141,7 @@ def feature_moments(spark, sf):
 
 
 _HUGE = 1e12
-_MEAN_MODEL = f"""{_QUOTE_RETURNS}, {_features_sql()},
+_MEAN_TAIL = f"""{_features_sql()},
 m AS (SELECT {B.SERIES}, avg(target) AS p, max(ts_utc) AS last_ts,
              arg_max("close", ts_utc) AS last_close, CAST(count(*) AS INTEGER) AS samples
       FROM f GROUP BY ALL HAVING count(*) >= 20),
@@ -150,6 +150,7 @@ o AS (SELECT {B.SERIES}, round(p, 4) AS prediction_return,
              strftime(last_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS last_ts,
              last_close, 'lasso' AS model,
              CAST({_HUGE} AS DOUBLE) AS alpha, samples FROM m)"""
+_MEAN_MODEL = f"{_QUOTE_RETURNS}, {_MEAN_TAIL}"
 
 
 def _mean_model(spark, sf):
