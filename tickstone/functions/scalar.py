@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Decimal text that fits a double.  Matching first keeps junk away from the
+# parser, which pays for each failure with an exception.
+_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE](\+?\d{1,2}|-\d{1,3}))?\s*$"
+
+
 def number(text: Column) -> Column:
     """Text to double; blank, junk and non-finite text become null."""
-    value = F.trim(text).try_cast("double")
-    finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
-    return F.when(finite, value)
+    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
 
 
 def instant(text: Column) -> Column:
@@ -22,13 +25,10 @@ def instant(text: Column) -> Column:
     The zone is added to the text rather than taken from the session, so the
     result does not depend on ``spark.sql.session.timeZone``.
     """
-    t = F.regexp_replace(F.trim(text), " ", "T")
-    day_only = F.length(t) == 10
-    zoned = t.rlike(r"(?i)(Z|[+-]\d{2}(:?\d{2})?)$")
-    iso = F.when(day_only, F.concat(t, F.lit("T00:00:00Z"))).when(zoned, t).otherwise(
-        F.concat(t, F.lit("Z"))
-    )
-    return iso.try_cast("timestamp")
+    t = F.trim(text)
+    has_zone = F.substring(t, 12, 100).rlike("[A-Za-z+-]")  # past the day and its T
+    zone = F.when(~F.contains(t, F.lit(":")), "T00:00:00Z").when(has_zone, "").otherwise("Z")
+    return F.concat(t, zone).try_cast("timestamp")
 
 
 def instant_of_millis(text: Column) -> Column:
@@ -59,7 +59,10 @@ def iso_utc(df: DataFrame, column: str) -> Column:
 
 def utc_day(df: DataFrame, column: str = "ts_utc") -> Column:
     """The UTC calendar day of a time column, as ``yyyy-MM-dd`` text."""
-    return F.date_format(_utc(df, column), "yyyy-MM-dd")
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        days = F.floor(F.unix_micros(column) / F.lit(86_400_000_000)).cast("int")
+        return F.date_from_unix_date(days).cast("string")
+    return F.to_date(column).cast("string")
 
 
 def not_blank(text: Column) -> Column:
@@ -73,9 +76,9 @@ def folder_value(path: Column, level: str) -> Column:
     The address is percent-encoded, and a folder Spark named may be escaped
     once more underneath; a plus sign stands for itself.
     """
-    value = not_blank(F.regexp_extract(path, f"{level}=([^/]+)", 1))
+    value = F.nullif(F.regexp_extract(path, f"{level}=([^/]+)", 1), F.lit(""))
     for _ in range(2):
-        plain = F.regexp_replace(value, r"\+", "%2B")
+        plain = F.replace(value, F.lit("+"), F.lit("%2B"))
         value = F.coalesce(F.try_url_decode(plain), value)
     return value
 

@@ -127,10 +127,9 @@ def scd2_compare(
     columns = history.columns
     key = F.struct(*keys)  # as a struct, null keys equal each other
 
-    fresh = _opened(
-        prepare_incoming(incoming, keys, tracked, version_ts, hasher).withColumn(_KEY, key),
-        version_ts,
-    )
+    # Deduplicated by the join's own key, the batch is exchanged only once.
+    batch = with_hash(incoming, tracked, hasher).withColumn(_KEY, key)
+    fresh = _opened(dedupe_latest(batch, [_KEY], newest_by=[version_ts, "ts_utc"]), version_ts)
     fresh = fresh.select(_KEY, F.struct(*_aligned(fresh, history)).alias("new"))
     current = history.filter(is_current()).select(key.alias(_KEY), F.struct(*columns).alias("old"))
 

@@ -18,30 +18,22 @@ PRICE_COLUMNS = S.PRICES.fieldNames()
 CANDLE_COLUMNS = S.CANDLES.fieldNames()
 
 
-def _quote(ts, asset_type, symbol, interval, currency, price) -> Column:
+def _quote(symbol: Column, currency: Column, price: Column, at: Column | None = None) -> Column:
+    """What one source says about one quote, still as text."""
+    at = F.lit(None).cast("string") if at is None else at
     return F.struct(
-        ts.alias("ts_utc"),
-        F.lit(asset_type).alias("asset_type"),
-        symbol.alias("symbol"),
-        F.lit(interval).alias("interval"),
-        currency.alias("currency"),
-        price.alias("price"),
+        symbol.alias("symbol"), currency.alias("currency"), price.alias("_price"), at.alias("_at")
     )
 
 
 def spot_quotes() -> Column:
     """``{asset: {currency: price}}``, stamped with the ingestion time."""
-    assets = F.map_entries(F.from_json("data", S.SPOT_PAYLOAD))
     return F.flatten(
         F.transform(
-            assets,
+            F.map_entries(F.from_json("data", S.SPOT_PAYLOAD)),
             lambda a: F.coalesce(
                 F.transform(
-                    F.map_entries(a["value"]),
-                    lambda q: _quote(
-                        F.col("ingest_ts"), S.ASSET_CRYPTO, a["key"], S.INTERVAL_SPOT,
-                        q["key"], number(q["value"]),
-                    ),
+                    F.map_entries(a["value"]), lambda q: _quote(a["key"], q["key"], q["value"])
                 ),
                 F.array(),  # an asset whose quotes are null
             ),
@@ -51,25 +43,29 @@ def spot_quotes() -> Column:
 
 def history_quotes() -> Column:
     """``prices: [[epoch ms, price], ...]``; short pairs yield nulls."""
-    points = F.from_json("data", S.HISTORY_PAYLOAD)["prices"]
     return F.transform(
-        points,
-        lambda p: _quote(
-            instant_of_millis(F.get(p, 0)), S.ASSET_CRYPTO, F.col("coin"),
-            S.INTERVAL_QUOTE_DAY, F.col("vs_currency"), number(F.get(p, 1)),
-        ),
+        F.from_json("data", S.HISTORY_PAYLOAD)["prices"],
+        lambda p: _quote(F.col("coin"), F.col("vs_currency"), F.get(p, 1), F.get(p, 0)),
     )
 
 
 def fx_quotes() -> Column:
     """``base``, ``date`` and ``rates: {currency: rate}``; symbol is base + currency."""
-    fx = F.from_json("data", S.FX_PAYLOAD)
-    return F.transform(
-        F.map_entries(fx["rates"]),
-        lambda r: _quote(
-            instant(fx["date"]), S.ASSET_FOREX, F.concat_ws("", fx["base"], r["key"]),
-            S.INTERVAL_QUOTE_DAY, r["key"], number(r["value"]),
-        ),
+    # As an array of one the payload is parsed once and not once per rate.
+    parsed = F.array(F.from_json("data", S.FX_PAYLOAD))
+    return F.flatten(
+        F.transform(
+            parsed,
+            lambda fx: F.coalesce(
+                F.transform(
+                    F.map_entries(fx["rates"]),
+                    lambda r: _quote(
+                        F.concat_ws("", fx["base"], r["key"]), r["key"], r["value"], fx["date"]
+                    ),
+                ),
+                F.array(),
+            ),
+        )
     )
 
 
@@ -89,14 +85,24 @@ def _typed(bronze: DataFrame) -> DataFrame:
 
 def prices(bronze: DataFrame, sources: tuple[str, ...] = S.PRICE_SOURCES) -> DataFrame:
     """Silver prices of all the given quote sources, in one pass over bronze."""
+    source = F.col("source")
     quotes = F.lit(None)
-    for source in sources:
-        quotes = F.when(F.col("source") == source, _QUOTES_OF[source]()).otherwise(quotes)
-    rows = (
-        _typed(bronze.filter(F.col("source").isin(*sources)))
-        .select("source", "run_id", "ingest_ts", F.inline(quotes))
-        .filter(F.col("price").isNotNull() & F.col("ts_utc").isNotNull())
+    for name in sources:
+        quotes = F.when(source == name, _QUOTES_OF[name]()).otherwise(quotes)
+    rows = _typed(bronze.filter(source.isin(*sources))).select(
+        "source", "run_id", "ingest_ts", F.inline(quotes)
     )
+    spot, fx = source == S.SOURCE_SPOT, source == S.SOURCE_FX
+    rows = rows.withColumns(
+        {
+            "ts_utc": F.when(spot, F.col("ingest_ts"))
+            .when(fx, instant(F.col("_at")))
+            .otherwise(instant_of_millis(F.col("_at"))),
+            "asset_type": F.when(fx, S.ASSET_FOREX).otherwise(S.ASSET_CRYPTO),
+            "interval": F.when(spot, S.INTERVAL_SPOT).otherwise(S.INTERVAL_QUOTE_DAY),
+            "price": number(F.col("_price")),
+        }
+    ).filter(F.col("price").isNotNull() & F.col("ts_utc").isNotNull())
     return rows.withColumn("date", utc_day(rows)).select(*PRICE_COLUMNS)
 
 
@@ -121,25 +127,26 @@ def candles(bronze: DataFrame) -> DataFrame:
     The symbol comes from the payload, else the request, else the ``symbol=``
     folder the file lies in, else it is ``UNKNOWN``.
     """
-    parsed = _typed(bronze.filter(F.col("source") == S.SOURCE_CANDLES)).withColumn(
-        "_p", F.from_json("data", S.CANDLE_PAYLOAD)
-    )
+    sent = _typed(bronze.filter(F.col("source") == S.SOURCE_CANDLES))
     folder = F.lit(None).cast("string")
-    if "input_file" in bronze.columns:
+    if "input_file" in sent.columns:
         folder = folder_value(F.col("input_file"), "symbol")
+    # Behind ``inline`` the payload is parsed once, not once per field used.
+    payload = F.inline(F.array(F.from_json("data", S.CANDLE_PAYLOAD)))
     symbol = F.coalesce(
-        not_blank(F.col("_p.meta.symbol")), not_blank(F.col("request.symbol")),
+        not_blank(F.col("meta.symbol")), not_blank(F.col("request.symbol")),
         folder, F.lit(S.UNKNOWN),
     )
     rows = (
-        parsed.filter(F.col("_p.status") == "ok")
+        sent.select("*", payload)
+        .filter(F.col("status") == "ok")
         .select(
             "source", "run_id", "ingest_ts",
             F.lit(S.ASSET_STOCK).alias("asset_type"),
             symbol.alias("symbol"),
             F.coalesce("request.interval", F.lit(S.INTERVAL_CANDLE_DAY)).alias("interval"),
-            F.col("_p.meta.currency").alias("currency"),
-            F.explode("_p.values").alias("_bar"),
+            F.col("meta.currency").alias("currency"),
+            F.explode("values").alias("_bar"),
         )
         .withColumn("ts_utc", instant(F.col("_bar.datetime")))
         .filter(F.col("ts_utc").isNotNull())

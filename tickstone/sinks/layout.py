@@ -43,4 +43,4 @@ def by_folder(
     # A row's piece follows from its values, so a repeated task agrees.
     piece = F.pmod(F.xxhash64(*df.columns), F.coalesce("_pieces", F.lit(1)))
     spread = df.join(huge, list(folders), "left").withColumn("_piece", piece)
-    return spread.repartition(tasks, *folders, "_piece").drop("_piece", "_pieces")
+    return spread.repartition(tasks, *folders, "_piece").select(*df.columns)
