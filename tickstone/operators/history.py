@@ -54,8 +54,8 @@ def _distinct_versions(
 ) -> DataFrame:
     """All versions of each key in time order, repeats of one state merged,
     each valid until the next."""
-    df = dedupe_latest(df, [*keys, version_ts], newest_by=[version_ts])
-    df = split_long_series(df, keys, order=[version_ts], limit=long_series)
+    rows, df = df, dedupe_latest(df, [*keys, version_ts], newest_by=[version_ts])
+    df = split_long_series(df, keys, order=[version_ts], limit=long_series, at_most=rows)
 
     def changes(part: DataFrame, by: list[str]) -> DataFrame:
         w = Window.partitionBy(*by).orderBy(version_ts)

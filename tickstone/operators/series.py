@@ -42,21 +42,24 @@ def split_long_series(
     keys: Sequence[str],
     order: Sequence[str] = ("ts_utc",),
     limit: int | None = LONG_SERIES_ROWS,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
     """Tag rows with the chunk of their series, if any series needs chunks.
 
     ``limit=None`` is for callers that know their series are short, such as
-    one row per calendar day.
+    one row per calendar day.  ``at_most`` is a frame that is cheaper to count
+    and has no fewer rows of any series; ``df`` itself is counted only if that
+    one shows long series.
     """
     if limit is None or CHUNK in df.columns:
         return df
     key = F.struct(*keys).alias(_KEY)  # a struct compares nulls as equal
-    long = (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    )
-    found = long.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("total")).first()
-    if not found["n"]:
-        return df
+    for counted in (df,) if at_most is None else (at_most, df):
+        sizes = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        long = sizes.filter(F.col("_rows") > limit)
+        found = long.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("total")).first()
+        if not found["n"]:
+            return df
 
     long = materialise(long.select(_KEY))
     if found["n"] <= BROADCAST_SERIES:

@@ -80,6 +80,7 @@ def recommendation(returns: DataFrame, asset_type: str, symbol: str) -> DataFram
     asked = returns.sparkSession.createDataFrame(
         [(asset_type, symbol)], "asset_type string, symbol string"
     )
+    # Grouped by the two columns it is filtered on, ``found`` has at most one row.
     return asked.join(F.broadcast(found), ["asset_type", "symbol"], "left").withColumn(
         "action", F.coalesce("action", F.lit(INSUFFICIENT))
     )

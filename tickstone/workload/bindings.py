@@ -131,7 +131,7 @@ def iso(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def _responses(df: DataFrame, source: str, dataset: str, data: Column, **more: Column):
+def responses(df: DataFrame, source: str, dataset: str, data: Column, **more: Column):
     """Bronze records; columns a source does not send are null."""
     sent = {
         "source": F.lit(source),
@@ -156,7 +156,7 @@ def spot_responses(spark: SparkSession, sf: str, asset: str = "user_id") -> Data
         F.lit("n/a").alias("bad"),
     )
     data = F.to_json(F.create_map(F.col(asset).cast("string"), one))
-    return _responses(table(spark, sf, "events"), S.SOURCE_SPOT, "crypto_simple_price", data)
+    return responses(table(spark, sf, "events"), S.SOURCE_SPOT, "crypto_simple_price", data)
 
 
 def history_responses(spark: SparkSession, sf: str, coin: str = "user_id") -> DataFrame:
@@ -171,7 +171,7 @@ def history_responses(spark: SparkSession, sf: str, coin: str = "user_id") -> Da
             ).alias("prices")
         )
     )
-    return _responses(
+    return responses(
         table(spark, sf, "events"), S.SOURCE_HISTORY, "crypto_market_chart", data,
         coin=F.col(coin).cast("string"), vs_currency=F.lit("usd"),
     )
@@ -190,7 +190,7 @@ def fx_responses(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("rates"),
         )
     )
-    return _responses(table(spark, sf, "events"), S.SOURCE_FX, "forex_latest", data)
+    return responses(table(spark, sf, "events"), S.SOURCE_FX, "forex_latest", data)
 
 
 def candle_responses(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,5 +227,5 @@ def candle_responses(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("30").alias("outputsize"),
         F.lit(None).cast("string").alias("base"),
     )
-    made = _responses(li, S.SOURCE_CANDLES, "time_series", data, request=request)
+    made = responses(li, S.SOURCE_CANDLES, "time_series", data, request=request)
     return made.withColumn("input_file", F.lit("file:/bronze/date=d/symbol=BRK%20B/run_id=r/x.gz"))

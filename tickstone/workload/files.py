@@ -18,7 +18,7 @@ from ..sinks.landing import land_bronze, write_manifests
 from ..sources import files
 from . import bindings as B
 from .registry import query
-from .signals import _HUGE, _MEAN_TAIL
+from .signals import HUGE_ALPHA, MEAN_TAIL
 
 
 def _candle_responses(spark, sf):
@@ -31,7 +31,7 @@ def _candle_responses(spark, sf):
         F.lit("").alias("volume"),
     )
     data = F.to_json(F.struct(F.lit("ok").alias("status"), F.array(bar).alias("values")))
-    return B._responses(
+    return B.responses(
         ev, S.SOURCE_CANDLES, "time_series", data, event_type=F.col("event_type")
     ).drop("coin", "vs_currency")
 
@@ -151,9 +151,9 @@ def files_gold_since(spark, sf):
     return B.rounded(_zone_free(df, "ts_utc"), 4, "volatility")
 
 
-@query(f"""WITH {_BARS_SQL}, {_MEAN_TAIL} SELECT * FROM o""")
+@query(f"""WITH {_BARS_SQL}, {MEAN_TAIL} SELECT * FROM o""")
 def files_predictions(spark, sf):
-    made = jobs.predict(spark, _gold(spark, sf), alpha=_HUGE).drop("generated_at")
+    made = jobs.predict(spark, _gold(spark, sf), alpha=HUGE_ALPHA).drop("generated_at")
     return B.rounded(made, 4, "prediction_return")
 
 

@@ -8,9 +8,9 @@ from ..operators import returns as R
 from . import bindings as B
 from .registry import query
 
-_RETURNS = 'ts_utc, "date", asset_type, symbol, "interval", currency, source'
-_NUMBERS = '"close", close_prev, return_1d'
-_RETURNS_OUT = f"SELECT {_RETURNS}, {_NUMBERS} FROM r"
+RETURN_COLUMNS = 'ts_utc, "date", asset_type, symbol, "interval", currency, source'
+RETURN_NUMBERS = '"close", close_prev, return_1d'
+_RETURNS_OUT = f"SELECT {RETURN_COLUMNS}, {RETURN_NUMBERS} FROM r"
 
 
 def _volatility_out(digits: int, rows: int = 30, columns: str = B.SERIES) -> str:
@@ -19,8 +19,8 @@ def _volatility_out(digits: int, rows: int = 30, columns: str = B.SERIES) -> str
 
 
 _BY_SYMBOL = "asset_type, symbol"
-_CANDLE_RETURNS = f"WITH {B.CANDLES_SQL}, {B.returns_sql('c', '\"close\"', B.SERIES)}"
-_QUOTE_RETURNS = f"WITH {B.QUOTES_SQL}, {B.returns_sql('q', 'price', B.SERIES)}"
+CANDLE_RETURNS = f"WITH {B.CANDLES_SQL}, {B.returns_sql('c', '\"close\"', B.SERIES)}"
+QUOTE_RETURNS = f"WITH {B.QUOTES_SQL}, {B.returns_sql('q', 'price', B.SERIES)}"
 _CURRENCY_QUOTES = """
 q AS (SELECT ts AS ts_utc, event_type AS asset_type, CAST(user_id AS VARCHAR) AS symbol,
              'spot' AS "interval", "value" AS price, 'events' AS source,
@@ -36,12 +36,12 @@ def quote_bars(spark, sf):
     return R.bars_from_quotes(B.quotes(spark, sf))
 
 
-@query(f"{_CANDLE_RETURNS} {_RETURNS_OUT}")
+@query(f"{CANDLE_RETURNS} {_RETURNS_OUT}")
 def returns_candles(spark, sf):
     return R.returns(daily_bars(spark, sf), long_series=None)
 
 
-@query(f"{_QUOTE_RETURNS} {_RETURNS_OUT}")
+@query(f"{QUOTE_RETURNS} {_RETURNS_OUT}")
 def returns_quotes(spark, sf):
     return R.returns(quote_bars(spark, sf))
 
@@ -66,19 +66,19 @@ def returns_usd_preferred(spark, sf):
 
 @query(f"""
 WITH {_CURRENCY_QUOTES}, {B.returns_sql('q', 'price', 'symbol')}
-SELECT ts_utc, "date", asset_type, symbol, source, {_NUMBERS} FROM r""")
+SELECT ts_utc, "date", asset_type, symbol, source, {RETURN_NUMBERS} FROM r""")
 def returns_by_symbol(spark, sf):
     """One series per symbol, whatever its asset type and currency."""
     quotes = B.quotes(spark, sf, F.col("event_type"), currency=B.three_currencies())
     return R.returns(R.bars_from_quotes(quotes), keys=["symbol"])
 
 
-@query(f"{_CANDLE_RETURNS}, {B.volatility_sql(B.SERIES)} {_volatility_out(6)}")
+@query(f"{CANDLE_RETURNS}, {B.volatility_sql(B.SERIES)} {_volatility_out(6)}")
 def volatility_30(spark, sf):
     return B.rounded(R.volatility_from_bars(daily_bars(spark, sf), long_series=None), 6, "volatility")
 
 
-@query(f"{_QUOTE_RETURNS}, {B.volatility_sql(B.SERIES)} {_volatility_out(4)}")
+@query(f"{QUOTE_RETURNS}, {B.volatility_sql(B.SERIES)} {_volatility_out(4)}")
 def volatility_quotes(spark, sf):
     return B.rounded(R.volatility_from_bars(quote_bars(spark, sf)), 4, "volatility")
 
@@ -116,13 +116,13 @@ def volatility_all_bars(spark, sf):
     return B.rounded(R.volatility_from_bars(bars), 4, "volatility")
 
 
-@query(f"{_CANDLE_RETURNS} {_RETURNS_OUT} WHERE \"date\" >= '1999-01-01'")
+@query(f"{CANDLE_RETURNS} {_RETURNS_OUT} WHERE \"date\" >= '1999-01-01'")
 def returns_since(spark, sf):
     return R.returns_since(daily_bars(spark, sf), "1999-01-01", long_series=None)
 
 
 @query(
-    f"{_CANDLE_RETURNS}, {B.volatility_sql(B.SERIES)} "
+    f"{CANDLE_RETURNS}, {B.volatility_sql(B.SERIES)} "
     f"{_volatility_out(6)} WHERE \"date\" >= '1999-01-01'"
 )
 def volatility_since(spark, sf):
@@ -130,7 +130,7 @@ def volatility_since(spark, sf):
     return B.rounded(R.volatility_since(made, "1999-01-01", long_series=None), 6, "volatility")
 
 
-_FEW_SERIES = f"""
+FEW_SERIES = f"""
 WITH q AS (SELECT ts AS ts_utc, 'event' AS asset_type, event_type AS symbol,
                   'spot' AS "interval", 'usd' AS currency, "value" AS price, 'events' AS source
            FROM events), {B.returns_sql('q', 'price', B.SERIES)}"""
@@ -142,7 +142,7 @@ def few_series(spark, sf):
     return bars, max(bars.count() // 40, 1)
 
 
-@query(f"{_FEW_SERIES}, {B.volatility_sql(B.SERIES)} {_volatility_out(4)}")
+@query(f"{FEW_SERIES}, {B.volatility_sql(B.SERIES)} {_volatility_out(4)}")
 def volatility_long_series(spark, sf):
     """Long series cut into chunks that carry the rows their windows reach."""
     bars, limit = few_series(spark, sf)

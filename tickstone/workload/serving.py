@@ -11,37 +11,37 @@ from ..operators import returns as R
 from ..operators import serving as V
 from ..sources.files import storage_inventory as inventory
 from . import bindings as B
-from .gold import _QUOTE_RETURNS, _RETURNS, _NUMBERS, quote_bars
+from .gold import QUOTE_RETURNS, RETURN_COLUMNS, RETURN_NUMBERS, quote_bars
 from .registry import query
 
-_SHOWN = f"{_RETURNS}, {_NUMBERS}"
+_SHOWN = f"{RETURN_COLUMNS}, {RETURN_NUMBERS}"
 
 
 def _returns(spark, sf):
     return R.returns(quote_bars(spark, sf))
 
 
-@query(f"""{_QUOTE_RETURNS} SELECT {_SHOWN} FROM r WHERE asset_type = 'event' AND symbol = '7'
+@query(f"""{QUOTE_RETURNS} SELECT {_SHOWN} FROM r WHERE asset_type = 'event' AND symbol = '7'
 ORDER BY ts_utc DESC LIMIT 100""")
 def latest_series(spark, sf):
     return V.latest_series(_returns(spark, sf), "event", "7")
 
 
-@query(f"""{_QUOTE_RETURNS} SELECT * FROM (
+@query(f"""{QUOTE_RETURNS} SELECT * FROM (
   SELECT {_SHOWN} FROM r WHERE asset_type = 'event' AND symbol = '7'
   ORDER BY ts_utc DESC LIMIT 30) ORDER BY ts_utc""")
 def chart_series(spark, sf):
     return V.chart_series(_returns(spark, sf), "event", "7", 30)
 
 
-@query(f"""{_QUOTE_RETURNS} SELECT {_SHOWN} FROM (
+@query(f"""{QUOTE_RETURNS} SELECT {_SHOWN} FROM (
   SELECT *, row_number() OVER (PARTITION BY {B.SERIES} ORDER BY ts_utc DESC) AS rn FROM r)
 WHERE rn <= 30""")
 def series_topk(spark, sf):
     return V.series_topk(_returns(spark, sf), 30)
 
 
-@query(f"{_QUOTE_RETURNS} SELECT DISTINCT asset_type, symbol FROM r ORDER BY ALL")
+@query(f"{QUOTE_RETURNS} SELECT DISTINCT asset_type, symbol FROM r ORDER BY ALL")
 def symbols(spark, sf):
     return V.symbols(_returns(spark, sf))
 

@@ -8,7 +8,7 @@ from ..operators import returns as R
 from ..operators import serving as V
 from ..operators import signals as G
 from . import bindings as B
-from .gold import _CANDLE_RETURNS, _FEW_SERIES, _QUOTE_RETURNS, daily_bars, few_series, quote_bars
+from .gold import CANDLE_RETURNS, FEW_SERIES, QUOTE_RETURNS, daily_bars, few_series, quote_bars
 from .registry import query
 
 
@@ -27,7 +27,7 @@ g AS (SELECT {B.SERIES},
              CASE WHEN n >= {least} THEN last_close END AS last_close FROM u)"""
 
 
-@query(f"{_CANDLE_RETURNS}, {_trend_sql(digits=4)} SELECT * FROM g")
+@query(f"{CANDLE_RETURNS}, {_trend_sql(digits=4)} SELECT * FROM g")
 def trend_signal(spark, sf):
     made = R.returns(daily_bars(spark, sf), long_series=None)
     return B.rounded(G.trend_signal(made), 4, "slope", "rel_slope")
@@ -44,7 +44,7 @@ def trend_signal_short(spark, sf):
     return B.rounded(G.trend_signal(made, min_closes=12), 6, "slope", "rel_slope")
 
 
-@query(f"""{_QUOTE_RETURNS}, {_trend_sql()}
+@query(f"""{QUOTE_RETURNS}, {_trend_sql()}
 SELECT asset_type, symbol, action, slope, rel_slope, last_close FROM g WHERE symbol = '7'""")
 def recommendation(spark, sf):
     made = R.returns(quote_bars(spark, sf))
@@ -87,12 +87,12 @@ def _features_out(digits: int) -> str:
     return f"SELECT * REPLACE ({shown}) FROM f"
 
 
-@query(f"{_CANDLE_RETURNS}, {_features_sql()} {_features_out(4)}")
+@query(f"{CANDLE_RETURNS}, {_features_sql()} {_features_out(4)}")
 def features(spark, sf):
     return B.rounded(G.features_from_bars(daily_bars(spark, sf), long_series=None), 4, *_COMPUTED)
 
 
-@query(f"{_CANDLE_RETURNS}, {_features_sql()} {_features_out(4)}")
+@query(f"{CANDLE_RETURNS}, {_features_sql()} {_features_out(4)}")
 def features_joined(spark, sf):
     """Volatility taken from its own table by a join."""
     made = R.returns(daily_bars(spark, sf), long_series=None)
@@ -100,19 +100,19 @@ def features_joined(spark, sf):
     return B.rounded(G.features(made, risk, long_series=None), 4, *_COMPUTED)
 
 
-@query(f"{_QUOTE_RETURNS}, {_features_sql(1)} {_features_out(2)}")
+@query(f"{QUOTE_RETURNS}, {_features_sql(1)} {_features_out(2)}")
 def features_forecast(spark, sf):
     """Features with the next return as their target."""
     return B.rounded(G.features_from_bars(quote_bars(spark, sf), horizon=1), 2, *_COMPUTED)
 
 
-@query(f"{_FEW_SERIES}, {_features_sql()} {_features_out(2)}")
+@query(f"{FEW_SERIES}, {_features_sql()} {_features_out(2)}")
 def features_long_series(spark, sf):
     bars, limit = few_series(spark, sf)
     return B.rounded(G.features_from_bars(bars, long_series=limit), 2, *_COMPUTED)
 
 
-@query(f"""{_CANDLE_RETURNS}, {_features_sql()}
+@query(f"""{CANDLE_RETURNS}, {_features_sql()}
 SELECT {B.SERIES}, CAST(count(*) AS INTEGER) AS samples, max(ts_utc) AS last_ts,
        round(avg(target), 5) AS mean_target, round(avg(vol_lag_2), 5) AS mean_vol_lag_2,
        round(covar_pop(ret_lag_1, target), 5) AS cov_lag_target,
@@ -140,8 +140,8 @@ def feature_moments(spark, sf):
     )
 
 
-_HUGE = 1e12
-_MEAN_TAIL = f"""{_features_sql()},
+HUGE_ALPHA = 1e12
+MEAN_TAIL = f"""{_features_sql()},
 m AS (SELECT {B.SERIES}, avg(target) AS p, max(ts_utc) AS last_ts,
              arg_max("close", ts_utc) AS last_close, CAST(count(*) AS INTEGER) AS samples
       FROM f GROUP BY ALL HAVING count(*) >= 20),
@@ -149,13 +149,13 @@ o AS (SELECT {B.SERIES}, round(p, 4) AS prediction_return,
              CASE WHEN p > 0.003 THEN 'buy' WHEN p < -0.003 THEN 'sell' ELSE 'hold' END AS action,
              strftime(last_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS last_ts,
              last_close, 'lasso' AS model,
-             CAST({_HUGE} AS DOUBLE) AS alpha, samples FROM m)"""
-_MEAN_MODEL = f"{_QUOTE_RETURNS}, {_MEAN_TAIL}"
+             CAST({HUGE_ALPHA} AS DOUBLE) AS alpha, samples FROM m)"""
+_MEAN_MODEL = f"{QUOTE_RETURNS}, {MEAN_TAIL}"
 
 
 def _mean_model(spark, sf):
     rows = G.features_from_bars(quote_bars(spark, sf))
-    return B.rounded(G.predictions(rows, alpha=_HUGE), 4, "prediction_return")
+    return B.rounded(G.predictions(rows, alpha=HUGE_ALPHA), 4, "prediction_return")
 
 
 @query(f"{_MEAN_MODEL} SELECT * FROM o")
