@@ -80,9 +80,9 @@ def prepare_incoming(
     version_ts: str = "ingest_ts",
     hasher=row_hash,
 ) -> DataFrame:
-    """Hash the batch and keep the newest row per key."""
-    hashed = with_hash(incoming, tracked, hasher)
-    return dedupe_latest(hashed, keys, newest_by=[version_ts, "ts_utc"])
+    """Keep the newest row per key and hash it."""
+    newest = dedupe_latest(incoming, keys, newest_by=[version_ts, "ts_utc"])
+    return with_hash(newest, tracked, hasher)
 
 
 def scd2_bootstrap(
@@ -128,8 +128,8 @@ def scd2_compare(
     key = F.struct(*keys)  # as a struct, null keys equal each other
 
     # Deduplicated by the join's own key, the batch is exchanged only once.
-    batch = with_hash(incoming, tracked, hasher).withColumn(_KEY, key)
-    fresh = _opened(dedupe_latest(batch, [_KEY], newest_by=[version_ts, "ts_utc"]), version_ts)
+    batch = prepare_incoming(incoming.withColumn(_KEY, key), [_KEY], tracked, version_ts, hasher)
+    fresh = _opened(batch, version_ts)
     fresh = fresh.select(_KEY, F.struct(*_aligned(fresh, history)).alias("new"))
     current = history.filter(is_current()).select(key.alias(_KEY), F.struct(*columns).alias("old"))
 
