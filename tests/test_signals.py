@@ -63,7 +63,7 @@ def test_recommendation_for_unknown_symbol(spark):
     assert [(r.symbol, r.action, r.slope) for r in rows] == [("nope", "insufficient-data", None)]
 
 
-def reference_features(closes):
+def pandas_features(closes):
     r = pd.Series(closes).pct_change().iloc[1:].reset_index(drop=True)
     vol = r.rolling(30, min_periods=10).std()
     f = pd.DataFrame({f"ret_lag_{i}": r.shift(i) for i in range(1, 6)})
@@ -81,7 +81,7 @@ def test_features_match_pandas(spark, limit):
     closes = walk(5, 120)
     df = G.features_from_bars(bars(spark, series(closes)), long_series=limit)
     mine = df.orderBy("ts_utc").select(*G.FEATURES, "target").toPandas()
-    np.testing.assert_allclose(mine, reference_features(closes), rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(mine, pandas_features(closes), rtol=1e-9, atol=1e-12)
 
 
 def test_joined_features_equal_inline_ones(spark):
@@ -105,7 +105,7 @@ def test_fewest_bars_for_a_prediction(spark):
 def test_small_returns_predict_their_mean(spark):
     closes = walk(9, 80, 0.01)
     row = G.predictions(G.features_from_bars(bars(spark, series(closes)))).first()
-    assert row.prediction_return == pytest.approx(reference_features(closes)["target"].mean())
+    assert row.prediction_return == pytest.approx(pandas_features(closes)["target"].mean())
     last = START + timedelta(days=79)
     assert (row.last_ts, row.model) == (f"{last:%Y-%m-%dT%H:%M:%S}+00:00", "lasso")
 

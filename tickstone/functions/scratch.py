@@ -30,10 +30,9 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the copy.
 
     Several branches of a plan then see the same rows even where the plan that
-    made them is not repeatable, and a lost executor costs a re-read, not a
-    recomputation.
+    made them is not repeatable, a lost executor costs a re-read and not a
+    recomputation, and each branch reads only the columns it uses.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "part")
+    df.write.option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -67,7 +67,7 @@ def split_long_series(
     keyed = df.withColumn(_KEY, key)
     short_rows = keyed.join(long, _KEY, "left_anti").withColumn(CHUNK, F.lit(-1))
     # Chunk numbers come from sampled range borders, which differ between two
-    # runs of the same plan; fixing them once makes every branch agree.
+    # runs of the same plan; writing them down makes every branch agree.
     chunks = -(-found["total"] // limit) + found["n"]
     long_rows = materialise(
         keyed.join(long, _KEY, "left_semi")
