@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def text_chunks(
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         sizes = np.cumsum(np.asarray(
-            pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64
+            pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64
         ))
         start = 0
         while start < batch.num_rows:
