@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
-from .common import table
+from . import bpe, langid
+from .common import fold, table
 from .registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -18,3 +18,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_digests(docs, vocabulary, keep=["doc_id"])
+
+
+@query()
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned where crc32(doc_id) mod 5 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    models = langid.fit(docs, fold("doc_id", 5) != 0)
+    named = docs.select("doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out"))
+    return langid.predict(named, models, keep=["doc_id", "held_out"])
