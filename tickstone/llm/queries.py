@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, simhash
 from .common import fold, table
 from .registry import QUERIES, SQL, query
 
@@ -27,3 +28,12 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = langid.fit(docs, fold("doc_id", 5) != 0)
     named = docs.select("doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out"))
     return langid.predict(named, models, keep=["doc_id", "held_out"])
+
+
+@query()
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id"
+    )
