@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, simhash
+from . import bpe, langid, sharding, simhash, urlfilter
 from .common import fold, table
+from .oracle import OP4_SQL
 from .registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -37,3 +38,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query(OP4_SQL)
+def op4_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, fitting rule and verdict of every page."""
+    found = urlfilter.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return found.drop("bound")
+
+
+@query()
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sixteen shards of nearly equal bytes, equal texts together."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
