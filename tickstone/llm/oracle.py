@@ -83,3 +83,43 @@ select page_id, host, path, rule,
 from ruled
 """
 )
+
+OP3_SQL = r"""
+with doc as (
+  select row_number() over () as rid, doc_id, source as host, text, coalesce(text, '') as t from documents),
+cut as (
+  select rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+  from doc),
+word as (select rid, unnest(ws) as w, generate_subscripts(ws, 1) as i from cut),
+five as (
+  select rid, i, w || ' ' || lead(w, 1) over p || ' ' || lead(w, 2) over p || ' '
+    || lead(w, 3) over p || ' ' || lead(w, 4) over p as g
+  from word window p as (partition by rid order by i)),
+again as (select rid, i, count(*) over (partition by rid, g) as n from five where g is not null),
+repeated as (
+  select rid, count(distinct i + k) as n_repeat_words
+  from again, (select unnest([0, 1, 2, 3, 4]) as k) where n > 1 group by 1),
+line as (
+  select rid, translate(trim(regexp_replace(
+    translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')),
+    '123456789', '000000000') as l
+  from (select rid, unnest(ls) as l from cut)),
+hosts as (select host, count(*) as of_ from doc group by 1),
+frequent as (
+  select host, l from line join doc using (rid) join hosts h using (host)
+  group by host, l having count(distinct text) >= 20 and count(distinct text) >= 0.001 * any_value(h.of_)),
+removed as (
+  select rid, sum(len(l) - len(replace(l, ' ', '')) + 1) as gone
+  from line join doc using (rid) where exists (select 1 from frequent f where f.host = doc.host and f.l = line.l) group by 1),
+counted as (
+  select doc_id, len(ws)::bigint as n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::bigint as n_symbols,
+    (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
+    coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(gone, 0) as gone
+  from doc join cut using (rid) left join repeated using (rid) left join removed using (rid))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and n_words - gone >= 10 and n_words - gone >= 0.5 * n_words as kept
+from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counted)
+"""

@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, sharding, simhash, urlfilter
+from . import bpe, langid, lines, sharding, simhash, urlfilter
 from .common import fold, table
-from .oracle import OP4_SQL
+from .oracle import OP3_SQL, OP4_SQL
 from .registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -51,3 +51,9 @@ def op4_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sixteen shards of nearly equal bytes, equal texts together."""
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query(OP3_SQL)
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text counts of every document, and whether the lines of its host leave it enough."""
+    return lines.judge(table(spark, sf_dir, "documents")).drop("n_removed")
