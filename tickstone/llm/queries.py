@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lines, sharding, simhash, urlfilter
-from .common import fold, table
+from . import bpe, langid, lines, sharding, simhash, substrings, urlfilter
+from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
 from .registry import QUERIES, SQL, query
 
@@ -57,3 +57,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text counts of every document, and whether the lines of its host leave it enough."""
     return lines.judge(table(spark, sf_dir, "documents")).drop("n_removed")
+
+
+@query()
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document repeats elsewhere, and a digest of what is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substrings.remove_repeats(docs)
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), f"{BLANKS}+", " "))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
