@@ -285,7 +285,7 @@ def encode_texts(
         _Field("decoded", "string", pa.string()),
     ]
     return _per_text(
-        docs, text, vocabulary, keep, fields, lambda i, d: (list(map(int, i.split())), d)
+        docs, text, vocabulary, keep, fields, lambda i, d: (np.fromstring(i, np.int32, sep=" "), d)
     )
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lines, sharding, simhash, substrings, urlfilter
+from . import bpe, decontaminate, langid, lines, sharding, simhash, substrings, urlfilter
 from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
 from .registry import QUERIES, SQL, query
@@ -66,3 +66,11 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(docs)
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), f"{BLANKS}+", " "))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that leaked into it."""
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )

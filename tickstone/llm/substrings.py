@@ -92,20 +92,23 @@ class Words:
     """The words of some texts in a row: where each starts and ends in ``raw``, the
     text it belongs to and running hashes over whole words."""
 
-    def __init__(self, texts: Sequence[bytes], seeds: Sequence[int] = (1,)):
+    def __init__(
+        self, texts: Sequence[bytes], seeds: Sequence[int] = (1,), gaps: np.ndarray = _SPACE
+    ):
         self.raw = b" ".join(texts) + b" "
         data = np.frombuffer(self.raw, np.uint8)
-        space = _SPACE[data]
+        space = gaps[data]
         edge = np.diff(space.view(np.int8), prepend=1)
         self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, dtype=np.int64)
         self.text = np.searchsorted(ends, self.start, "right")
         self.first = np.searchsorted(self.text, np.arange(len(texts) + 1))  # first word of each text
         self.hashes = [_hash(s) for s in seeds]
-        self.sums = []
+        self.each, self.sums = [], []
         for h in self.hashes:
             sums = h.sums(h.letters[data])
-            self.sums.append(h.sums(h.runs(sums, self.start, self.end)))
+            self.each.append(h.runs(sums, self.start, self.end))
+            self.sums.append(h.sums(self.each[-1]))
 
     def windows(self, size: int) -> np.ndarray:
         """Starts of all windows of ``size`` words inside one text."""
