@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, sharding, simhash, substrings, urlfilter
+from . import bpe, decontaminate, langid, lines, quality, sharding, simhash, substrings, urlfilter
 from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
 from .registry import QUERIES, SQL, query
@@ -74,3 +74,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every text, learned where crc32(doc_id) mod 3 is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    named = docs.select("doc_id", "text", (fold("doc_id", 3) == 1).alias("held_out"))
+    return quality.score(named, model, keep=["doc_id", "held_out"])
