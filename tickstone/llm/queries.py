@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, quality, sharding, simhash, substrings, urlfilter
+from . import bpe, decontaminate, langid, lines, lm, quality, sharding, simhash, substrings, urlfilter
 from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
 from .registry import QUERIES, SQL, query
@@ -83,3 +83,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
     named = docs.select("doc_id", "text", (fold("doc_id", 3) == 1).alias("held_out"))
     return quality.score(named, model, keep=["doc_id", "held_out"])
+
+
+@query()
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear scores of every text, learned where crc32(doc_id) mod 7
+    is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    model, counts = lm.fit(docs, fold("doc_id", 7) != 2)
+    named = docs.select("doc_id", "text", (fold("doc_id", 7) == 2).alias("held_out"))
+    return lm.score(named, model, counts, keep=["doc_id", "held_out"])
