@@ -15,8 +15,9 @@ sixteen small look-ups for all of them.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import scratch_path
@@ -28,6 +29,12 @@ _AT_ONCE = 255
 PARTS = 1024
 
 
+def _facts(spark: SparkSession, rows: list[tuple], names: Sequence[str]) -> DataFrame:
+    """A few rows of whole numbers as literals of the plan."""
+    columns = [F.lit([int(r[k]) for r in rows]).cast("array<bigint>").alias(n) for k, n in enumerate(names)]
+    return spark.range(1).select(F.inline(F.arrays_zip(*columns)))
+
+
 def _stored(df: DataFrame, label: str, *by: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "snappy").partitionBy(*by).parquet(path)
@@ -69,8 +76,9 @@ class _Totals:
         self.most = max((b["most"] for b in per_block), default=0)
         order = F.col("first_id").asc_nulls_first(), F.col("key").asc_nulls_first()
         w = Window.partitionBy("block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        starts = groups.sparkSession.createDataFrame(
-            [(k, *v) for k, v in before.items()], "at int, bytes_before bigint, rows_before bigint"
+        starts = _facts(
+            groups.sparkSession, [(k, *v) for k, v in before.items()],
+            ["at", "bytes_before", "rows_before"],
         )
         self.running = _stored(
             self.groups.join(F.broadcast(starts), F.col("block") == F.col("at")).select(
@@ -89,8 +97,7 @@ class _Totals:
             if k < len(self.ends):
                 asked[b] = self.blocks[k]
         if asked:
-            spark = self.running.sparkSession
-            ask = spark.createDataFrame(list(asked.items()), "bound bigint, at int")
+            ask = _facts(self.running.sparkSession, list(asked.items()), ["bound", "at"])
             near = self.running.filter(F.col("block").isin(sorted(set(asked.values()))))
             hits = near.join(
                 F.broadcast(ask), (F.col("block") == F.col("at")) & (F.col("upto") <= F.col("bound"))
