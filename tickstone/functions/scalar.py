@@ -9,26 +9,53 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Decimal text that fits a double.  Matching first keeps junk away from the
-# parser, which pays for each failure with an exception.
-_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE](\+?\d{1,2}|-\d{1,3}))?\s*$"
+# All that a decimal number is written with.  Looking at the letters first keeps junk
+# away from the parser, which pays for each failure with an exception.
+_NUMERIC = "0123456789+-.eE \t\n\r\x0b\x0c"
+_LARGEST = 1.7976931348623157e308
 
 
 def number(text: Column) -> Column:
     """Text to double; blank, junk and non-finite text become null."""
-    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    plain = (F.length(F.translate(text, _NUMERIC, "")) == 0) & (F.length(text) > 0)
+    value = F.when(plain, text.try_cast("double"))
+    return F.when(F.abs(value) <= _LARGEST, value)
 
 
 def instant(text: Column) -> Column:
     """ISO text to an instant, with text that names no zone read as UTC.
 
-    The zone is added to the text rather than taken from the session, so the
-    result does not depend on ``spark.sql.session.timeZone``.
+    The zone is added to the text rather than taken from the session, so the result
+    does not depend on ``spark.sql.session.timeZone``.  A month stands for its first
+    day, a day for its midnight and a minute for its first second; text without a
+    date is null, as it would mean another instant each day.
     """
     t = F.trim(text)
-    has_zone = F.substring(t, 12, 100).rlike("[A-Za-z+-]")  # past the day and its T
-    zone = F.when(~F.contains(t, F.lit(":")), "T00:00:00Z").when(has_zone, "").otherwise("Z")
-    return F.concat(t, zone).try_cast("timestamp")
+    size = F.length(t)
+    day = F.regexp_extract(t, r"^([+-]?\d{4,6}-\d{1,2}-\d{1,2})([T ].*)?$", 1)
+    clock = F.substring_index(F.translate(F.substring(t, F.length(day) + 2, size), " ", ""), "Z", 1)
+    zone_at = F.regexp_instr(clock, F.lit("[A-Za-z+-]"))
+    has_zone = (zone_at > 0) | t.endswith("Z")
+    bare = F.when(zone_at > 0, F.substring(clock, F.lit(1), zone_at - 1)).otherwise(clock)
+    colons = F.length(bare) - F.length(F.translate(bare, ":", ""))
+    zone = F.when(zone_at > 0, F.substring(clock, zone_at, size)).otherwise("Z")
+    odd = (
+        F.when(t.rlike(r"^[+-]?\d{4,6}-\d{1,2}$"), F.concat(t, F.lit("-01T00:00:00Z")))
+        .when(day == "", F.lit(None))
+        .when(bare == "", F.concat(day, F.lit("T00:00:00"), zone))
+        .when(colons == 1, F.concat(day, F.lit("T"), bare, F.lit(":00"), zone))
+        .when(has_zone, t)
+        .otherwise(F.concat(t, F.lit("Z")))
+    )
+    # The two usual forms pass without a pattern being matched.
+    seconds = (size == 19) & (F.substring(t, 17, 1) == ":") & (F.substring(t, 5, 1) == "-")
+    midnight = (size == 10) & (F.substring(t, 5, 1) == "-") & (F.substring(t, 8, 1) == "-")
+    full = (
+        F.when(seconds, F.concat(t, F.lit("Z")))
+        .when(midnight, F.concat(t, F.lit("T00:00:00Z")))
+        .otherwise(odd)
+    )
+    return full.try_cast("timestamp")
 
 
 def instant_of_millis(text: Column) -> Column:
@@ -37,8 +64,15 @@ def instant_of_millis(text: Column) -> Column:
 
 
 def wall_clock_utc(ts: Column) -> Column:
-    """An instant as the zone-free UTC wall clock."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    """An instant as the zone-free UTC wall clock.
+
+    Counted from the epoch, never through the session's own wall clock, which shows
+    two instants alike when its clocks go back.
+    """
+    seconds = F.unix_micros(ts.cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+    )
 
 
 def _utc(df: DataFrame, column: str) -> Column:

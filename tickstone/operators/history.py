@@ -115,9 +115,11 @@ def scd2_compare(
     version_ts: str = "ingest_ts",
     late: str = "ignore",
     hasher=row_hash,
+    untouched: bool = True,
 ) -> DataFrame:
     """Current versions after a batch, and those it closes, with a ``change``
-    column saying which is which.  Closed versions of ``history`` are left out.
+    column saying which is which.  Closed versions of ``history`` are left out, and
+    without ``untouched`` so are those of keys the batch does not hold.
 
     ``late="ignore"`` drops rows that are not newer than the current version of
     their key; ``"apply"`` lets them replace it all the same.
@@ -131,7 +133,8 @@ def scd2_compare(
     batch = prepare_incoming(incoming.withColumn(_KEY, key), [_KEY], tracked, version_ts, hasher)
     fresh = _opened(batch, version_ts)
     fresh = fresh.select(_KEY, F.struct(*_aligned(fresh, history)).alias("new"))
-    current = history.filter(is_current()).select(key.alias(_KEY), F.struct(*columns).alias("old"))
+    # The bare flag, unlike is_current(), reaches the scan; null counts as closed too.
+    current = history.filter("is_current").select(key.alias(_KEY), F.struct(*columns).alias("old"))
 
     has_new, has_old = F.col("new").isNotNull(), F.col("old").isNotNull()
     differs = F.coalesce(F.col("new.hash_diff") != F.col("old.hash_diff"), F.lit(True))
@@ -152,7 +155,11 @@ def scd2_compare(
         .when(replaces, F.array(closed, opened))
         .otherwise(F.array(kept))
     )
-    return current.join(fresh, _KEY, "full_outer").select(F.inline(outcome))
+    if untouched:
+        joined = current.join(fresh, _KEY, "full_outer")
+    else:
+        joined = fresh.join(current, _KEY, "left")
+    return joined.select(F.inline(outcome))
 
 
 def _aligned(df: DataFrame, like: DataFrame) -> list[Column]:
@@ -165,7 +172,7 @@ def _aligned(df: DataFrame, like: DataFrame) -> list[Column]:
 
 def scd2_changes(*args, **options) -> DataFrame:
     """Only the versions a batch closes or opens (see :func:`scd2_compare`)."""
-    return scd2_compare(*args, **options).filter(F.col(CHANGE) != KEPT)
+    return scd2_compare(*args, **options, untouched=False).filter(F.col(CHANGE) != KEPT)
 
 
 def scd2_apply(
@@ -183,8 +190,11 @@ def scd2_apply(
 
     A key absent from the batch stays current.  Applying a batch twice equals
     applying it once.  With ``keep_all_versions`` every distinct state within
-    the batch becomes a version; otherwise only the newest row per key does.
+    the batch becomes a version; otherwise only the newest row per key does.  It
+    cannot go with ``late="apply"``: a late state would lie inside a closed version.
     """
+    if keep_all_versions and late != "ignore":
+        raise ValueError("keep_all_versions needs late='ignore'")
     if history is None:
         return scd2_bootstrap(
             incoming, keys, tracked, version_ts, keep_all_versions, hasher, long_series

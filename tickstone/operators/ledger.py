@@ -21,12 +21,16 @@ def history_points() -> Column:
 def run_manifest(
     records: DataFrame, status: str = "success", size: Column | None = None
 ) -> DataFrame:
-    """One manifest row per run; ``size`` is what each response counts for."""
+    """One manifest row per run, dated from its first response; ``size`` is what each
+    response counts for."""
     size = F.lit(1) if size is None else size
     return (
-        records.groupBy(*RUN)
-        .agg(F.sum(size.cast("bigint")).alias("record_count"))
-        .withColumn("status", F.lit(status))
+        records.groupBy(*(c for c in RUN if c != "ingest_ts"))
+        .agg(
+            F.min("ingest_ts").alias("ingest_ts"),
+            F.sum(size.cast("bigint")).alias("record_count"),
+        )
+        .select(*RUN, "record_count", F.lit(status).alias("status"))
     )
 
 

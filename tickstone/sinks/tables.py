@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import not_blank, wall_clock_utc
+from ..functions import not_blank, row_hash, wall_clock_utc
 from ..functions.scratch import scratch_path
 from ..operators.history import (
     CHANGE,
     CLOSED,
     OPENED,
     is_current,
+    scd2_apply,
     scd2_bootstrap,
     scd2_changes,
 )
@@ -114,28 +115,42 @@ def apply_versions(
     keys: Sequence[str],
     tracked: Sequence[str],
     partitions: Sequence[str] = S.PARTITIONS,
-    **options,
+    version_ts: str = "ingest_ts",
+    late: str = "ignore",
+    keep_all_versions: bool = False,
+    hasher=row_hash,
 ) -> dict[str, int]:
     """Apply a batch to a stored history; returns versions opened and closed.
 
-    Only the partitions of those versions are rewritten.  The history is read
-    in full for its current versions, but only closed and opened ones are
-    written twice.
+    Only the partitions of those versions are rewritten.  Current versions meet the
+    batch in one left join; where the key holds the time, only those of the batch's
+    days are read.  ``keep_all_versions`` compares the whole chain instead.
     """
+    if keep_all_versions and late != "ignore":
+        raise ValueError("keep_all_versions needs late='ignore'")
+    columns = schema.fieldNames()
+    # Keys are compared as they are stored, so a null name meets its stored stand-in.
+    incoming = _storable(incoming, partitions)
     history = read_table(incoming.sparkSession, path, schema)
     if history is None:
-        first = scd2_bootstrap(incoming, keys, tracked, **options)
-        columns = schema.fieldNames()
+        first = scd2_bootstrap(incoming, keys, tracked, version_ts, keep_all_versions, hasher)
         return {OPENED: write_partitioned(first.select(*columns), path, partitions), CLOSED: 0}
-
-    changes, rows = stage(scd2_changes(incoming, history, keys, tracked, **options), partitions)
+    if keep_all_versions:
+        return _apply_chain(incoming, history, path, keys, tracked, partitions, version_ts, hasher)
+
+    known = history
+    if "ts_utc" in keys and "date" in incoming.columns:
+        known = _in_days_of(history, incoming)
+    changes, rows = stage(
+        scd2_changes(incoming, known, keys, tracked, version_ts, late, hasher), partitions
+    )
     if not rows:
         return {OPENED: 0, CLOSED: 0}
     opened = changes.filter(F.col(CHANGE) == OPENED).count()
     around = in_partitions_of(history, changes, partitions)
     replaced = changes.filter(F.col(CHANGE) == CLOSED).select(F.struct(*keys).alias("_key"))
     still_current = (
-        around.filter(is_current())
+        around.filter("is_current")
         .withColumn("_key", F.struct(*keys))
         .join(replaced, "_key", "left_anti")
         .drop("_key")
@@ -147,6 +162,35 @@ def apply_versions(
     return {OPENED: opened, CLOSED: rows - opened}
 
 
+def _in_days_of(history: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The part of a stored history within the days a batch spans."""
+    span = incoming.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    return history.filter(F.col("date").between(span["lo"], span["hi"]))
+
+
+def _apply_chain(
+    incoming, history, path, keys, tracked, partitions, version_ts, hasher
+) -> dict[str, int]:
+    """Every distinct state of a batch becomes a version of the stored history."""
+    columns = history.columns
+    after, _ = stage(
+        scd2_apply(incoming, history, keys, tracked, version_ts, "ignore", True, hasher), partitions
+    )
+    same = F.lit(True)
+    old = history.select(*(F.col(c).alias(f"_{c}") for c in columns))
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    changed, rows = stage(after.join(old, same, "left_anti"), partitions)
+    if not rows:
+        return {OPENED: 0, CLOSED: 0}
+    known = F.lit(True)
+    for c in (*keys, "valid_from"):
+        known = known & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    closed = changed.join(old, known, "left_semi").count()
+    write_partitioned(in_partitions_of(after, changed, partitions), path, partitions)
+    return {OPENED: rows - closed, CLOSED: closed}
+
+
 def write_predictions(predictions: DataFrame, path: str) -> None:
     """Predictions as JSON lines with the time they were made."""
     now = F.date_format(

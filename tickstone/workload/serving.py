@@ -53,11 +53,12 @@ m AS (SELECT event_type || '-' || strftime(ts, '%Y%m%d') AS run_id, 'events' AS
              event_type AS dataset, strftime(ts, '%Y-%m-%d') AS ingest_ts,
              strftime(ts, '%Y-%m-%d') AS "date", CAST(sum(1) AS BIGINT) AS record_count,
              'success' AS status
-      FROM events WHERE "value" > {least} GROUP BY ALL)"""
+      FROM events WHERE {which} GROUP BY ALL)"""
 
 
-def _records(spark, sf, least):
-    ev = B.table(spark, sf, "events").filter(F.col("value") > least)
+def _records(spark, sf, least=None):
+    ev = B.table(spark, sf, "events")
+    ev = ev if least is None else ev.filter(F.col("value") > least)
     day = F.date_format("ts", "yyyy-MM-dd")
     return ev.select(
         F.concat_ws("-", "event_type", F.date_format("ts", "yyyyMMdd")).alias("run_id"),
@@ -68,9 +69,9 @@ def _records(spark, sf, least):
     )
 
 
-@query(f"WITH {_RUNS_SQL.format(least=0)} SELECT * FROM m")
+@query(f"WITH {_RUNS_SQL.format(which='true')} SELECT * FROM m")
 def run_manifest(spark, sf):
-    return L.run_manifest(_records(spark, sf, 0))
+    return L.run_manifest(_records(spark, sf))
 
 
 @query("""
@@ -86,18 +87,18 @@ def history_manifest(spark, sf):
 
 
 @query(f"""
-WITH {_RUNS_SQL.format(least=350)},
+WITH {_RUNS_SQL.format(which='"value" > 350')},
 planned AS (SELECT DISTINCT event_type AS dataset, strftime(ts, '%Y-%m-%d') AS "date" FROM events)
 SELECT * FROM planned p WHERE NOT EXISTS (
   SELECT 1 FROM m WHERE m.dataset = p.dataset AND m."date" = p."date")""")
 def ledger_pending(spark, sf):
     done = L.run_manifest(_records(spark, sf, 350))
-    planned = _records(spark, sf, -1).select("dataset", "date").distinct()
+    planned = _records(spark, sf).select("dataset", "date").distinct()
     return L.ledger_pending(planned, done, ["dataset", "date"])
 
 
 @query(f"""
-WITH {_RUNS_SQL.format(least=350)}
+WITH {_RUNS_SQL.format(which='"value" > 350')}
 SELECT strftime(d, '%Y-%m-%d') AS "date", 'view' AS dataset
 FROM generate_series(TIMESTAMP '2023-12-25', TIMESTAMP '2024-02-05', INTERVAL 1 DAY) g(d)
 WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT "date" FROM m WHERE dataset = 'view')""")
