@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from .common import text_chunks
 
 #: Pieces remembered per generation in one worker.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Words encoded side by side.
 SIDE_BY_SIDE = 50_000
+_CHUNK = 2 << 20  # text bytes in hand: their distinct pieces must fit the memory above
 _NONE = np.int64(1) << 40  # rank of a pair that cannot be merged
 # White space of the vocabulary's pattern, its contractions and classes.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -251,7 +252,7 @@ def _per_text(docs, text: str, vocabulary: Vocabulary, keep, fields: list, make)
         encoder = Encoder(shared.value)
         gc.disable()  # a million small strings and no cycles: walking them is waste
         try:
-            for batch, texts in text_chunks(batches, "_text"):
+            for batch, texts in text_chunks(batches, "_text", _CHUNK):
                 made = list(zip(*(make(i, d) for i, d in encoder.encode(texts)), strict=True))
                 columns = [batch.column(k) for k in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(

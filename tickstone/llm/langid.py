@@ -35,6 +35,7 @@ REJECT_MARGIN = 0.5
 SURE_AFTER = 40
 UNKNOWN = "und"
 
+_CHUNK = 1 << 20  # text bytes in hand: each takes some hundred bytes of arrays
 _GAP = 0x20
 _BASIC = 1 << 16
 
@@ -223,7 +224,7 @@ def fit(
     labelled = labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"))
 
     def count(batches):
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "_text", _CHUNK):
             names = np.array(batch.column(0).to_pylist(), dtype=object)
             for name in set(names):
                 row, start, letters = symbols([texts[i] for i in np.flatnonzero(names == name)])
@@ -249,7 +250,7 @@ def fit(
     models = train(counts)
 
     def measure(batches):
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "_text", _CHUNK):
             h, n, letters = entropies(models, texts)
             names = batch.column(0).to_pylist()
             rows = [
@@ -320,7 +321,7 @@ def predict(
     schema += (", " if kept else "") + "lang_pred string, score double, rejected boolean"
 
     def work(batches):
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "_text", _CHUNK):
             lang, score, rejected = zip(*identify(shared.value, texts), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(len(kept))]
