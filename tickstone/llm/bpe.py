@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import released, text_chunks
 
 #: Pieces remembered per generation in one worker.
 REMEMBERED = 150_000
@@ -262,7 +262,7 @@ def _per_text(docs, text: str, vocabulary: Vocabulary, keep, fields: list, make)
         finally:
             gc.enable()
 
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(released(work), schema)
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -59,6 +61,23 @@ def salted_lookup(
     return joined.drop("_salt", "_on_salt", *(f"_on_{c}" for c in on))
 
 
+def released(work):
+    """``work`` over Arrow batches, giving memory back to the system at its end, since
+    the worker process lives on for tasks of other kinds."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def text_chunks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import released, text_chunks
 from .substrings import Words
 
 #: Share of an item's own score from which it is retrieved.
@@ -275,7 +275,7 @@ def find_leaks(
                     ["doc_id", "item_id", "score", "question_share", "answer_share"],
                 )
 
-        part = rows.mapInArrow(work, schema)
+        part = rows.mapInArrow(released(work), schema)
         out = part if out is None else out.union(part)
     return spark.createDataFrame([], schema) if out is None else out
 
@@ -294,5 +294,5 @@ def without_leaks(
                 gone = {f[0] for f in leaks(shared.value, texts)}
                 yield batch.filter(pa.array([i not in gone for i in range(len(texts))]))
 
-        docs = docs.mapInArrow(work, docs.schema)
+        docs = docs.mapInArrow(released(work), docs.schema)
     return docs

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import released, text_chunks
 
 ORDER = 4
 #: Labelled texts of each language to learn from, on average at most.
@@ -237,7 +237,7 @@ def fit(
 
     counted = (
         _sampled(labelled, "_lang", "_text", sample_docs, 0)
-        .mapInArrow(count, "lang string, code bigint, n bigint")
+        .mapInArrow(released(count), "lang string, code bigint, n bigint")
         .groupBy("lang", "code").agg(F.sum("n").alias("n"))
     ).toPandas()
     if not len(counted):
@@ -265,7 +265,7 @@ def fit(
 
     own = (
         _sampled(labelled, "_lang", "_text", sample_docs, 1)
-        .mapInArrow(measure, "lang string, h double, n bigint")
+        .mapInArrow(released(measure), "lang string, h double, n bigint")
         .groupBy("lang").agg(F.avg("h").alias("mean"), F.stddev_pop("h").alias("spread"))
     ).collect()
     found = {r["lang"]: r for r in own}
@@ -329,4 +329,4 @@ def predict(
                 [*kept, *names],
             )
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
+    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(released(work), schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import released, text_chunks
 
 #: Labelled rows to learn from at most.
 SAMPLE_ROWS = 20_000
@@ -208,7 +208,7 @@ def _with_features(rows: DataFrame, kept: Sequence[str]) -> DataFrame:
             )
 
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "x array<double>"])
-    return rows.select(*kept, "_text").mapInArrow(work, schema)
+    return rows.select(*kept, "_text").mapInArrow(released(work), schema)
 
 
 def fit(
@@ -258,4 +258,4 @@ def score(
                 [*kept, *names],
             )
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
+    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(released(work), schema)

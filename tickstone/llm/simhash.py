@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import text_chunks
+from .common import released, text_chunks
 from .components import components
 
 SHINGLE = 3
@@ -207,7 +207,7 @@ def fingerprint_links(prints: DataFrame, split_above: int = SPLIT_ABOVE) -> Data
         "f", F.explode(F.when(F.col("n") > split_above, left).otherwise(same)).alias("at")
     ).select("at.part", "at.bits", "f")
     sorted_rows = keyed.repartition("part", "bits").sortWithinPartitions("part", "bits", "f")
-    return sorted_rows.mapInArrow(_compare, "a bigint, b bigint").distinct()
+    return sorted_rows.mapInArrow(released(_compare), "a bigint, b bigint").distinct()
 
 
 def with_fingerprints(
@@ -223,7 +223,7 @@ def with_fingerprints(
             )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
-    return rows.mapInArrow(work, "doc_id bigint, f bigint")
+    return rows.mapInArrow(released(work), "doc_id bigint, f bigint")
 
 
 def near_duplicates(
@@ -259,20 +259,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """``docs`` with one document of each component, that of the smallest id.
 
     All columns stay.  Of rows repeated under that id one stays: the first by
-    text.  Rows without an id are kept, as nothing could name their copies.
+    the hash of its text, a null text last.  Rows without an id are kept, as nothing could name their copies.
     """
-    found = near_duplicates(docs.filter(F.col(doc_id).isNotNull()), doc_id, text)
-    chosen = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     named = docs.filter(F.col(doc_id).isNotNull())
-    winners = named.join(chosen, named[doc_id].cast("bigint") == chosen["_kept"], "left_semi")
-    # Ids repeat rarely, so only the least text of each id is gathered, never a group.
-    first = winners.groupBy(F.col(doc_id).alias("_id")).agg(
-        F.min(F.struct(F.col(text).isNull().alias("none"), F.xxhash64(text).alias("h"))).alias("least"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    many = first.filter("_n > 1")
-    once = winners.join(many, winners[doc_id] == many["_id"], "left_anti")
-    repeated = winners.join(many, winners[doc_id] == many["_id"]).filter(
-        (F.col(text).isNull() == F.col("least.none")) & (F.xxhash64(text) == F.col("least.h"))
-    ).drop("_id", "least", "_n").dropDuplicates([doc_id])
-    return once.unionByName(repeated).unionByName(docs.filter(F.col(doc_id).isNull()))
+    found = near_duplicates(named, doc_id, text)
+    chosen = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    winners = named.withColumn("_id", F.col(doc_id).cast("bigint"))
+    winners = winners.join(chosen, F.col("_id") == F.col("_kept"), "left_semi")
+    # Dealt by id already; only the least row of an id is kept by each task.
+    w = Window.partitionBy("_id").orderBy(F.col(text).isNull(), F.xxhash64(text))
+    first = winners.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1")
+    return first.select(*docs.columns).unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import salted_lookup, text_chunks
+from .common import released, salted_lookup, text_chunks
 
 WINDOW = 35
 GRAM = 8
@@ -240,7 +240,7 @@ def repeats(
             h, n = np.unique(h, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["anchor", "n"])
 
-    counted = rows.select("_text").mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(
+    counted = rows.select("_text").mapInArrow(released(count), "anchor bigint, n bigint").groupBy("anchor").agg(
         F.sum("n").alias("n")
     ).filter("n > 1")
     shared = spark.sparkContext.broadcast(_tables(counted, filter_bits, group_size))
@@ -317,12 +317,11 @@ def repeats(
         if held:
             yield built(held)
 
-    runs = rows.mapInArrow(lambda b: cut(b, False), "_id string, _hash bigint, anchor bigint, run binary, lo int")
-    found = runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        trees, "_id string, _hash bigint, lo int, hi int"
+    runs = rows.mapInArrow(released(lambda b: cut(b, False)), "_id string, _hash bigint, anchor bigint, run binary, lo int")
+    found = runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(released(trees), "_id string, _hash bigint, lo int, hi int"
     )
     if shared.value[1].any():
-        long = rows.mapInArrow(lambda b: cut(b, True), "_id string, _hash bigint, low bigint, high bigint, lo int")
+        long = rows.mapInArrow(released(lambda b: cut(b, True)), "_id string, _hash bigint, low bigint, high bigint, lo int")
         sizes = long.groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         known = salted_lookup(long, sizes, ["low", "high"], F.col("_hash"), 32).filter(F.col("n").isNotNull())
         found = found.union(known.select("_id", "_hash", "lo", (F.col("lo") + WINDOW).alias("hi")))
@@ -383,4 +382,4 @@ def remove_repeats(
 
     types = dict(docs.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"{n} bigint" for n in names])
-    return joined.mapInArrow(work, schema)
+    return joined.mapInArrow(released(work), schema)
