@@ -192,3 +192,36 @@ def test_gold_jobs_without_input(spark, tmp_path):
     silver, gold = str(tmp_path / "s"), str(tmp_path / "g")
     assert jobs.silver_to_gold(spark, silver, gold) == {"returns_daily": 0, "volatility_30d": 0}
     assert jobs.predict(spark, gold) is None
+
+
+def test_whole_tables_lose_partitions_no_longer_filled(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = prices(spark, ("A", 1.0, "s", 1, None), ("B", 2.0, "s", 1, None))
+    assert tables.write_partitioned(df, path) == 2
+
+    def stored():
+        return sorted(r.symbol for r in spark.read.schema(S.PRICES).parquet(path).collect())
+
+    tables.write_partitioned(df.filter("symbol = 'A'"), path)
+    assert stored() == ["A", "B"]
+    tables.write_partitioned(df.filter("symbol = 'A'"), path, whole=True)
+    assert stored() == ["A"]
+    assert tables.write_partitioned(df.limit(0), path, whole=True) == 0
+    assert stored() == []
+
+
+def test_series_of_a_symbol_stay_apart(spark):
+    df = spark.createDataFrame(
+        [("a", "b", "1d", c, t, float(t if c == "usd" else -t)) for c in ("usd", "eur") for t in range(40)],
+        "asset_type string, symbol string, interval string, currency string, ts_utc int, close double",
+    )
+    page = [(r.currency, r.ts_utc) for r in V.latest_series(df, "a", "b", 2).collect()]
+    assert page == [("eur", 39), ("eur", 38), ("usd", 39), ("usd", 38)]
+    one = V.chart_series(df, "a", "b", 2, currency="usd").collect()
+    assert [(r.currency, r.ts_utc) for r in one] == [("usd", 38), ("usd", 39)]
+    found = {r.currency: r.action for r in V.recommendation(df, "a", "b").collect()}
+    assert found["usd"] == "buy" and len(found) == 2
+    assert [r.currency for r in V.recommendation(df, "a", "b", currency="eur").collect()] == ["eur"]
+    for look_up in (V.latest_series, V.chart_series, V.recommendation):
+        with pytest.raises(ValueError):
+            look_up(df, "a", None)

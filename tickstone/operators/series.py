@@ -124,7 +124,8 @@ def newest_per_key(
     """The ``k`` first rows per key.
 
     Spark cuts each map task's rows to ``k`` per key before the exchange, so a
-    key with very many copies does not load one task.
+    key with very many copies does not load one task.  It does so for ``k`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); for more, raise that.
     """
     w = Window.partitionBy(*keys).orderBy(*newest_first)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")

@@ -24,22 +24,50 @@ def _where(df: DataFrame, **equals) -> DataFrame:
     return df
 
 
+def _newest(df: DataFrame, rows: int, **asked) -> tuple[DataFrame, list[str]]:
+    """The newest rows of each series asked for, and the series keys left open."""
+    open_keys = [k for k in S.series_keys(df) if asked.get(k) is None]
+    newest_first = [F.col("ts_utc").desc(), *map(F.col, _tie_break(df))]
+    found = _where(df, **asked)
+    if open_keys:
+        return newest_per_key(found, open_keys, newest_first, rows), open_keys
+    return found.orderBy(*newest_first).limit(rows), open_keys
+
+
 def latest_series(
-    df: DataFrame, asset_type: str, symbol: str, limit: int = PAGE_ROWS
+    df: DataFrame, asset_type: str, symbol: str, limit: int = PAGE_ROWS,
+    currency: str | None = None, interval: str | None = None,
 ) -> DataFrame:
-    """The newest rows of one symbol, newest first."""
+    """The newest rows of one symbol, newest first.
+
+    A symbol kept in several currencies or intervals has that many series; each has
+    its own ``limit`` rows, one series after the other.
+    """
     if not 0 <= limit <= PAGE_MAX:
         raise ValueError(f"limit must lie between 0 and {PAGE_MAX}")
-    rows = _where(df, asset_type=asset_type, symbol=symbol)
-    return rows.orderBy(F.col("ts_utc").desc(), *_tie_break(df)).limit(limit)
+    page, by = _newest(
+        df, limit, asset_type=_given(asset_type), symbol=_given(symbol),
+        currency=currency, interval=interval,
+    )
+    return page.orderBy(*by, F.col("ts_utc").desc(), *_tie_break(df))
 
 
 def chart_series(
-    df: DataFrame, asset_type: str, symbol: str, rows: int = CHART_ROWS
+    df: DataFrame, asset_type: str, symbol: str, rows: int = CHART_ROWS,
+    currency: str | None = None, interval: str | None = None,
 ) -> DataFrame:
-    """The newest rows of one symbol, oldest first."""
-    newest = latest_series(df, asset_type, symbol, rows)
-    return newest.orderBy(F.col("ts_utc"), *_tie_break(df))
+    """The newest rows of one symbol, each series by itself, oldest first."""
+    shown, by = _newest(
+        df, rows, asset_type=_given(asset_type), symbol=_given(symbol),
+        currency=currency, interval=interval,
+    )
+    return shown.orderBy(*by, F.col("ts_utc"), *_tie_break(df))
+
+
+def _given(value: str) -> str:
+    if value is None:
+        raise ValueError("an asset type and a symbol must be given")
+    return value
 
 
 def _tie_break(df: DataFrame) -> list[str]:
@@ -70,17 +98,17 @@ def first_predictions(predictions: DataFrame, n: int = CARD_ROWS) -> DataFrame:
     return predictions.orderBy(*S.series_keys(predictions)).limit(n)
 
 
-def recommendation(returns: DataFrame, asset_type: str, symbol: str) -> DataFrame:
-    """The trend signal of one symbol; one row even for an unknown symbol."""
+def recommendation(
+    returns: DataFrame, asset_type: str, symbol: str,
+    currency: str | None = None, interval: str | None = None,
+) -> DataFrame:
+    """The trend signal of each series of one symbol; one row even for an unknown
+    symbol, with the remaining series keys null."""
     from .signals import INSUFFICIENT, trend_signal
 
-    found = trend_signal(
-        _where(returns, asset_type=asset_type, symbol=symbol), keys=["asset_type", "symbol"]
-    )
-    asked = returns.sparkSession.createDataFrame(
-        [(asset_type, symbol)], "asset_type string, symbol string"
-    )
-    # Grouped by the two columns it is filtered on, ``found`` has at most one row.
-    return asked.join(F.broadcast(found), ["asset_type", "symbol"], "left").withColumn(
+    wanted = {"asset_type": _given(asset_type), "symbol": _given(symbol)}
+    found = trend_signal(_where(returns, **wanted, currency=currency, interval=interval))
+    asked = returns.sparkSession.range(1).select(*(F.lit(v).alias(k) for k, v in wanted.items()))
+    return asked.join(found, list(wanted), "left").withColumn(
         "action", F.coalesce("action", F.lit(INSUFFICIENT))
     )

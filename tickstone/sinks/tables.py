@@ -49,24 +49,30 @@ def stage(df: DataFrame, partitions: Sequence[str] = S.PARTITIONS) -> tuple[Data
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS
+    df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS, whole: bool = False
 ) -> int:
-    """Replace the partitions ``df`` has rows for; returns the rows written.
+    """Replace the partitions ``df`` has rows for, or with ``whole`` all of the table;
+    returns the rows written.
 
     The rows are staged first, so ``df`` may derive from the table at ``path``.
     """
-    return _replace(*stage(df, partitions), path, partitions)
+    return _replace(*stage(df, partitions), path, partitions, whole)
 
 
-def _replace(staged: DataFrame, rows: int, path: str, partitions: Sequence[str]) -> int:
+def _replace(
+    staged: DataFrame, rows: int, path: str, partitions: Sequence[str], whole: bool = False
+) -> int:
     if not rows:
+        if whole and read_table(staged.sparkSession, path, staged.schema) is not None:
+            emptied = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            emptied.partitionBy(*partitions).parquet(path)
         return 0
     written = Observation()
     (
         by_folder(staged, partitions)
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partitions)
         .parquet(path)

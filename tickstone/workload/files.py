@@ -14,6 +14,7 @@ from ..functions.scratch import scratch_path
 from ..operators import ledger as L
 from ..operators import payloads
 from ..plans import jobs
+from ..sinks import tables
 from ..sinks.landing import land_bronze, write_manifests
 from ..sources import files
 from . import bindings as B
@@ -151,6 +152,21 @@ def files_gold_since(spark, sf):
     return B.rounded(_zone_free(df, "ts_utc"), 4, "volatility")
 
 
+@query(f"""WITH {_BARS_SQL}
+SELECT ts_utc, "date", asset_type, symbol, "interval", currency, source, "close", close_prev,
+       return_1d FROM r WHERE "date" < '2024-01-20'""")
+def files_gold_withdrawn(spark, sf):
+    """After the bars of the last days were withdrawn, a run takes their rows out."""
+    silver, gold, left = _silver(spark, sf), scratch_path(spark, "gold"), scratch_path(spark, "left")
+    jobs.silver_to_gold(spark, silver, gold)
+    for name, schema in (("prices", S.PRICES), ("candles", S.CANDLES)):
+        rows = files.read_table(spark, f"{silver}/{name}", schema)
+        tables.write_partitioned(rows.filter(F.col("date") < "2024-01-20"), f"{left}/{name}")
+    jobs.silver_to_gold(spark, left, gold)
+    df = files.read_table(spark, f"{gold}/returns_daily", S.RETURNS)
+    return _zone_free(df.select(*S.RETURNS.fieldNames()), "ts_utc")
+
+
 @query(f"""WITH {_BARS_SQL}, {MEAN_TAIL} SELECT * FROM o""")
 def files_predictions(spark, sf):
     made = jobs.predict(spark, _gold(spark, sf), alpha=HUGE_ALPHA).drop("generated_at")

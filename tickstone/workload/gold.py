@@ -21,7 +21,7 @@ def _volatility_out(digits: int, rows: int = 30, columns: str = B.SERIES) -> str
 _BY_SYMBOL = "asset_type, symbol"
 CANDLE_RETURNS = f"WITH {B.CANDLES_SQL}, {B.returns_sql('c', '\"close\"', B.SERIES)}"
 QUOTE_RETURNS = f"WITH {B.QUOTES_SQL}, {B.returns_sql('q', 'price', B.SERIES)}"
-_CURRENCY_QUOTES = """
+CURRENCY_QUOTES = """
 q AS (SELECT ts AS ts_utc, event_type AS asset_type, CAST(user_id AS VARCHAR) AS symbol,
              'spot' AS "interval", "value" AS price, 'events' AS source,
              CASE event_id % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'eur' ELSE 'gbp' END AS currency
@@ -47,14 +47,14 @@ def returns_quotes(spark, sf):
 
 
 @query(f"""
-WITH {_CURRENCY_QUOTES}, {B.returns_sql('q', 'price', B.SERIES)} {_RETURNS_OUT}""")
+WITH {CURRENCY_QUOTES}, {B.returns_sql('q', 'price', B.SERIES)} {_RETURNS_OUT}""")
 def returns_all_currencies(spark, sf):
     quotes = B.quotes(spark, sf, F.col("event_type"), currency=B.three_currencies())
     return R.returns(R.bars_from_quotes(quotes))
 
 
 @query(f"""
-WITH {_CURRENCY_QUOTES},
+WITH {CURRENCY_QUOTES},
 kept AS (SELECT * FROM q WHERE lower(currency) = 'usd' OR NOT EXISTS (
            SELECT 1 FROM q u WHERE u.asset_type = q.asset_type AND u.symbol = q.symbol
              AND lower(u.currency) = 'usd')),
@@ -65,7 +65,7 @@ def returns_usd_preferred(spark, sf):
 
 
 @query(f"""
-WITH {_CURRENCY_QUOTES}, {B.returns_sql('q', 'price', 'symbol')}
+WITH {CURRENCY_QUOTES}, {B.returns_sql('q', 'price', 'symbol')}
 SELECT ts_utc, "date", asset_type, symbol, source, {RETURN_NUMBERS} FROM r""")
 def returns_by_symbol(spark, sf):
     """One series per symbol, whatever its asset type and currency."""
@@ -84,7 +84,7 @@ def volatility_quotes(spark, sf):
 
 
 @query(f"""
-WITH {_CURRENCY_QUOTES}, {B.returns_sql('q', 'price', 'symbol')}, {B.volatility_sql('symbol')}
+WITH {CURRENCY_QUOTES}, {B.returns_sql('q', 'price', 'symbol')}, {B.volatility_sql('symbol')}
 {_volatility_out(4, columns=_BY_SYMBOL)}""")
 def volatility_by_symbol(spark, sf):
     quotes = B.quotes(spark, sf, F.col("event_type"), currency=B.three_currencies())

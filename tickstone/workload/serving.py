@@ -11,7 +11,7 @@ from ..operators import returns as R
 from ..operators import serving as V
 from ..sources.files import storage_inventory as inventory
 from . import bindings as B
-from .gold import QUOTE_RETURNS, RETURN_COLUMNS, RETURN_NUMBERS, quote_bars
+from .gold import CURRENCY_QUOTES, QUOTE_RETURNS, RETURN_COLUMNS, RETURN_NUMBERS, quote_bars
 from .registry import query
 
 _SHOWN = f"{RETURN_COLUMNS}, {RETURN_NUMBERS}"
@@ -34,6 +34,18 @@ def chart_series(spark, sf):
     return V.chart_series(_returns(spark, sf), "event", "7", 30)
 
 
+@query(f"""
+WITH {CURRENCY_QUOTES}, {B.returns_sql('q', 'price', B.SERIES)}
+SELECT {_SHOWN} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {B.SERIES} ORDER BY ts_utc DESC) AS rn FROM r
+  WHERE asset_type = 'view' AND symbol = '7')
+WHERE rn <= 3""")
+def latest_currencies(spark, sf):
+    """A page of each series of a symbol quoted in three currencies."""
+    quotes = B.quotes(spark, sf, F.col("event_type"), currency=B.three_currencies())
+    return V.latest_series(R.returns(R.bars_from_quotes(quotes)), "view", "7", 3)
+
+
 @query(f"""{QUOTE_RETURNS} SELECT {_SHOWN} FROM (
   SELECT *, row_number() OVER (PARTITION BY {B.SERIES} ORDER BY ts_utc DESC) AS rn FROM r)
 WHERE rn <= 30""")

@@ -8,7 +8,15 @@ from ..operators import returns as R
 from ..operators import serving as V
 from ..operators import signals as G
 from . import bindings as B
-from .gold import CANDLE_RETURNS, FEW_SERIES, QUOTE_RETURNS, daily_bars, few_series, quote_bars
+from .gold import (
+    CANDLE_RETURNS,
+    CURRENCY_QUOTES,
+    FEW_SERIES,
+    QUOTE_RETURNS,
+    daily_bars,
+    few_series,
+    quote_bars,
+)
 from .registry import query
 
 
@@ -48,7 +56,18 @@ def trend_signal_short(spark, sf):
 SELECT asset_type, symbol, action, slope, rel_slope, last_close FROM g WHERE symbol = '7'""")
 def recommendation(spark, sf):
     made = R.returns(quote_bars(spark, sf))
-    return B.rounded(V.recommendation(made, "event", "7"), 6, "slope", "rel_slope")
+    made = V.recommendation(made, "event", "7").drop("interval", "currency")
+    return B.rounded(made, 6, "slope", "rel_slope")
+
+
+@query(f"""
+WITH {CURRENCY_QUOTES}, {B.returns_sql('q', 'price', B.SERIES)}, {_trend_sql()}
+SELECT * FROM g WHERE asset_type = 'view' AND symbol = '7'""")
+def recommendation_currencies(spark, sf):
+    """A symbol quoted in three currencies has a signal in each."""
+    quotes = B.quotes(spark, sf, F.col("event_type"), currency=B.three_currencies())
+    made = V.recommendation(R.returns(R.bars_from_quotes(quotes)), "view", "7")
+    return B.rounded(made, 6, "slope", "rel_slope")
 
 
 def _features_sql(horizon: int = 0) -> str:
