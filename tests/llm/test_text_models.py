@@ -61,6 +61,25 @@ def test_languages(docs):
     assert strange["日本語 テキスト"] and not any(r["rejected"] for r in held if len(r["text"]) > 200)
 
 
+def test_languages_of_many_copies_and_of_one_text(spark):
+    def words(alphabet, i):
+        return " ".join("".join(alphabet[(i * 7 + j * k) % len(alphabet)] for k in range(1, 6)) for j in range(1, 30))
+
+    # One text of "xx" is copied until a sample of the rows would hardly reach the others.
+    rows = [("xx", words("ăęįőů", 0))] * 20_000 + [("xx", words("ăęįőů", i)) for i in range(1, 5)]
+    rows += [("en", words("abcdefgh", i)) for i in range(60)]
+    rows += [(f"one{k}", f"{chr(0x3b1 + k) * 5} {chr(0x430 + k) * 3}") for k in range(12)]  # a text each
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    sample = langid._sampled(df.toDF("_lang", "_text"), 40).collect()
+    drawn = Counter(r["_lang"] for r in sample)
+    assert drawn["xx"] == 5 and all(drawn[f"one{k}"] == 1 for k in range(12))
+    assert 0 < drawn["en"] < 60
+    models = langid.fit(df, F.lit(True), sample_docs=40)
+    assert models.langs == sorted({n for n, _ in rows})
+    got = langid.predict(df.distinct(), models).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
 def test_nothing_learned(spark, docs):
     assert langid.fit(docs, F.lit(False)) is None
     assert {r["lang_pred"] for r in langid.predict(docs, None).collect()} == {"und"}

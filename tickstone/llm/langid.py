@@ -8,7 +8,8 @@ The language of lowest cross-entropy per symbol wins.  Each language's own sprea
 of cross-entropy sets how much worse a text may be before it is rejected.
 
 The models are a classifier fitted on a bounded sample: at most about
-``sample_docs`` labelled texts of each language, chosen by a hash of their text.
+``sample_docs`` different labelled texts of each language, chosen by a hash of their
+text, and all of a language that has fewer.  Copies of a text count as one.
 Scoring reads every whole text.
 """
 
@@ -22,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialise
 from .common import released, text_chunks
 
 ORDER = 4
-#: Labelled texts of each language to learn from, on average at most.
+#: Different labelled texts of each language to learn from, on average at most.
 SAMPLE_DOCS = 3000
 #: Standard deviations above its language's mean at which a text is rejected.
 REJECT_AT = 6.0
@@ -199,16 +201,22 @@ def entropies(m: Models, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray
     return -total / np.maximum(n, 1)[:, None], n, letters
 
 
-def _sampled(labelled: DataFrame, lang: str, text: str, sample_docs: int, part: int) -> DataFrame:
-    """Two disjoint hash samples of the labelled texts: 0 to count, 1 to calibrate."""
-    sizes = {r[lang]: r["n"] for r in labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
+def _sampled(labelled: DataFrame, sample_docs: int) -> DataFrame:
+    """Different texts of each language, ``sample_docs`` on average of a language that has
+    more and else all, with ``_held``: every fifth is held out to calibrate."""
+    each = labelled.groupBy("_lang", F.xxhash64("_text").alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = {r["_lang"]: r["n"] for r in each.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0)
     for name, n in sizes.items():
-        top = int(1_000_000 * min(1.0, 1.25 * sample_docs / n))
-        share = F.when(F.col(lang) == name, F.lit(top)).otherwise(share)
-    spot = F.pmod(F.xxhash64(text), F.lit(1_000_000))
-    held = F.pmod(F.xxhash64(F.reverse(F.col(text))), F.lit(5)) == 0
-    return labelled.filter((spot < share) & (held if part else ~held)).select(lang, text)
+        top = int(1_000_000 * min(1.0, sample_docs / n))
+        share = F.when(F.col("_lang") == name, F.lit(top)).otherwise(share)
+    spot = F.pmod(F.xxhash64("_text"), F.lit(1_000_000))
+    # Copies are cut to one by each task before they are dealt.
+    drawn = labelled.filter(spot < share).groupBy("_lang", F.xxhash64("_text").alias("_hash")).agg(
+        F.first("_text").alias("_text")
+    )
+    held = F.pmod(F.xxhash64(F.reverse(F.col("_text"))), F.lit(5)) == 0
+    return materialise(drawn.select("_lang", "_text", held.alias("_held")))
 
 
 def fit(
@@ -218,44 +226,55 @@ def fit(
     """Models of every language that labels a text with a letter; none without any.
 
     The sample's n-grams are counted in tasks and summed by Spark; what reaches the
-    driver is bounded by the sample.
+    driver is bounded by the sample.  The models learn from the whole sample.  How well
+    a language's own texts fit is measured on the texts held out, with models that
+    learned without them.
     """
     labelled = docs.filter(train_on & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    labelled = labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"))
+    sample = _sampled(labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_text")), sample_docs)
 
     def count(batches):
         for batch, texts in text_chunks(batches, "_text", _CHUNK):
             names = np.array(batch.column(0).to_pylist(), dtype=object)
+            out = np.array(batch.column(2).to_pylist())
             for name in set(names):
                 row, start, letters = symbols([texts[i] for i in np.flatnonzero(names == name)])
                 code, of = grams(row, start, ORDER)
-                code, n = np.unique(code[letters[of] > 0], return_counts=True)
+                used = letters[of] > 0
+                code, where = np.unique(code[used], return_inverse=True)
+                of_rest = ~out[names == name][of[used]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(code), pa.string()), pa.array(code.view(np.int64)),
-                     pa.array(n)], ["lang", "code", "n"],
+                     pa.array(np.bincount(where, minlength=len(code)).astype(np.int64)),
+                     pa.array(np.bincount(where, of_rest, len(code)).astype(np.int64))],
+                    ["lang", "code", "n", "rest"],
                 )
 
     counted = (
-        _sampled(labelled, "_lang", "_text", sample_docs, 0)
-        .mapInArrow(released(count), "lang string, code bigint, n bigint")
-        .groupBy("lang", "code").agg(F.sum("n").alias("n"))
+        sample.mapInArrow(released(count), "lang string, code bigint, n bigint, rest bigint")
+        .groupBy("lang", "code").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"))
     ).toPandas()
     if not len(counted):
         return None
-    counts = {}
-    for name, part in counted.groupby("lang"):
-        code = part["code"].to_numpy().view(np.uint64)
-        order = np.argsort(code)
-        counts[name] = code[order], part["n"].to_numpy()[order]
-    models = train(counts)
+
+    def trained(column: str) -> Models | None:
+        counts = {}
+        for name, part in counted[counted[column] > 0].groupby("lang"):
+            code = part["code"].to_numpy().view(np.uint64)
+            order = np.argsort(code)
+            counts[name] = code[order], part[column].to_numpy()[order]
+        return train(counts) if counts else None
+
+    without = trained("rest")
+    known = without.langs if without else []
 
     def measure(batches):
         for batch, texts in text_chunks(batches, "_text", _CHUNK):
-            h, n, letters = entropies(models, texts)
+            h, n, letters = entropies(without, texts)
             names = batch.column(0).to_pylist()
             rows = [
-                (name, float(h[i, models.langs.index(name)]), int(n[i]))
-                for i, name in enumerate(names) if name in counts and letters[i]
+                (name, float(h[i, known.index(name)]), int(n[i]))
+                for i, name in enumerate(names) if name in known and letters[i]
             ]
             lang_of, entropy, size = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -264,11 +283,11 @@ def fit(
             )
 
     own = (
-        _sampled(labelled, "_lang", "_text", sample_docs, 1)
-        .mapInArrow(released(measure), "lang string, h double, n bigint")
+        sample.filter("_held").mapInArrow(released(measure), "lang string, h double, n bigint")
         .groupBy("lang").agg(F.avg("h").alias("mean"), F.stddev_pop("h").alias("spread"))
-    ).collect()
+    ).collect() if without else []
     found = {r["lang"]: r for r in own}
+    models = trained("n")
     mean = np.array([found[x]["mean"] if x in found else np.nan for x in models.langs])
     spread = np.array([found[x]["spread"] if x in found else np.nan for x in models.langs])
     # A language too rare to calibrate takes the largest figures of the others.
