@@ -118,6 +118,18 @@ def test_keep_one(spark):
     )
 
 
+def test_keep_one_by_component(spark):
+    # Id 7 repeats with a text near those of id 5 and one near those of id 8.
+    x, y = "x1 x2 x3 x4 x5", "y1 y2 y3 y4 y5"
+    lone = [(20, "p q r s"), (20, "t u v w"), (20, "t u v w")]  # unrelated texts under one id
+    rows = [(5, x), (7, x), (7, y), (8, y), *lone]
+    rows += [(None, x), *[(None, "no id at all")] * 3, (None, "another without"), (None, y.upper())]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(map(str, map(tuple, simhash.keep_one(df).collect()))) == sorted(map(str, [
+        (5, x), (7, y), (20, "p q r s"), (20, "t u v w"), (None, "no id at all"), (None, "another without"),
+    ]))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(df).collect() == []

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
@@ -213,17 +213,35 @@ def fingerprint_links(prints: DataFrame, split_above: int = SPLIT_ABOVE) -> Data
 def with_fingerprints(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
-    """``doc_id`` and its fingerprint ``f`` (signed 64 bits), one row per row."""
+    """``doc_id``, ``text_hash`` (null for a null text) and the fingerprint ``f`` (signed
+    64 bits), one row per row."""
 
     def work(batches):
         for batch, texts in text_chunks(batches, "_text"):
             f = fingerprints(texts, shingle)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(f.view(np.int64))], ["doc_id", "f"]
+                [batch.column(0), batch.column(1), pa.array(f.view(np.int64))],
+                ["doc_id", "text_hash", "f"],
             )
 
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
-    return rows.mapInArrow(released(work), "doc_id bigint, f bigint")
+    rows = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"), _text_hash(text).alias("text_hash"),
+        F.col(text).alias("_text"),
+    )
+    return rows.mapInArrow(released(work), "doc_id bigint, text_hash bigint, f bigint")
+
+
+def _text_hash(text: str) -> Column:
+    return F.when(F.col(text).isNotNull(), F.xxhash64(text))
+
+
+def _rooted(prints: DataFrame, split_above: int) -> DataFrame:
+    """``prints`` (column ``f`` of different fingerprints, and ``least``) with the
+    fingerprint ``root`` that names the component."""
+    roots = components(fingerprint_links(prints.select("f"), split_above))
+    return prints.join(roots, prints["f"] == roots["node"], "left").select(
+        "f", "least", F.coalesce("root", "f").alias("root")
+    )
 
 
 def near_duplicates(
@@ -238,12 +256,8 @@ def near_duplicates(
     Rows that share an id each keep their own fingerprint.  A null id is never the
     smallest; a component of null ids alone has a null id.
     """
-    rows = materialise(with_fingerprints(docs, doc_id, text, shingle))
-    prints = rows.groupBy("f").agg(F.min("doc_id").alias("least"))
-    roots = components(fingerprint_links(prints.select("f"), split_above))
-    named = prints.join(roots, prints["f"] == roots["node"], "left").select(
-        "f", "least", F.coalesce("root", "f").alias("root")
-    )
+    rows = materialise(with_fingerprints(docs, doc_id, text, shingle).select("doc_id", "f"))
+    named = _rooted(rows.groupBy("f").agg(F.min("doc_id").alias("least")), split_above)
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = materialise(named.join(smallest, "root").select(F.col("f").alias("_f"), "component_id"))
     # One fingerprint may hold a third of all rows: its fact is repeated per salt.
@@ -255,18 +269,32 @@ def near_duplicates(
     ).select("doc_id", "f", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", split_above: int = SPLIT_ABOVE
+) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id.
 
-    All columns stay.  Of rows repeated under that id one stays: the first by
-    the hash of its text, a null text last.  Rows without an id are kept, as nothing could name their copies.
+    All columns stay.  Rows without an id come after all that have one.  Of rows under
+    the same id (or without any) the first by the hash of its text stays, a null text
+    last; of equal texts under it any one.  Rows that share an id but lie in different
+    components each stand for their own.
     """
-    named = docs.filter(F.col(doc_id).isNotNull())
-    found = near_duplicates(named, doc_id, text)
-    chosen = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    winners = named.withColumn("_id", F.col(doc_id).cast("bigint"))
-    winners = winners.join(chosen, F.col("_id") == F.col("_kept"), "left_semi")
-    # Dealt by id already; only the least row of an id is kept by each task.
-    w = Window.partitionBy("_id").orderBy(F.col(text).isNull(), F.xxhash64(text))
-    first = winners.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1")
-    return first.select(*docs.columns).unionByName(docs.filter(F.col(doc_id).isNull()))
+    # By component, and not by id, which other components may hold as well.
+    place = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.col("text_hash").isNull().alias("no_text"), F.coalesce("text_hash", F.lit(0)).alias("hash"),
+    )
+    rows = with_fingerprints(docs, doc_id, text)
+    prints = materialise(rows.groupBy("f").agg(F.min(place).alias("least")))
+    winners = _rooted(prints, split_above).groupBy("root").agg(F.min("least").alias("w")).select(
+        *(F.col(f"w.{c}").alias(f"_{c}") for c in ("no_id", "id", "no_text", "hash"))
+    )
+    key = ["_no_id", "_id", "_no_text", "_hash"]
+    keyed = docs.withColumns({
+        "_no_id": F.col(doc_id).isNull(), "_id": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)),
+        "_no_text": F.col(text).isNull(), "_hash": F.coalesce(_text_hash(text), F.lit(0)),
+    })
+    # Copies are cut to one by each task, so that a hot one does not load the join.
+    w = Window.partitionBy(*key).orderBy("_hash")
+    first = keyed.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1")
+    return first.join(winners, key, "left_semi").select(*docs.columns)
