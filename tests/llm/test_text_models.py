@@ -157,6 +157,26 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df, bench.limit(0)).collect() == []
 
 
+def test_scores_do_not_depend_on_blocks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    items = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, int(rng.integers(8, 60))) % 300)) for i in range(80)]
+    items += [(90, ""), (91, None), (92, " . ")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").repartition(3)
+    # All but some words of each item, so that the score hangs on the words' weights.
+    rows = [(i, " ".join(t.split()[:-2])) for i, t in items[:80]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole, *parted = (
+        {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_leaks(docs, bench, index_bytes=n).collect()}
+        for n in (1 << 20, 4000, 700)
+    )
+    assert len(whole) > 40 and any(s < 0.99 for s in whole.values())
+    for got in parted:
+        assert got.keys() == whole.keys()
+        assert all(math.isclose(got[k], s, rel_tol=1e-9) for k, s in whole.items())
+
+
 def test_retrieval_equals_plain_bm25():
     import numpy as np
 

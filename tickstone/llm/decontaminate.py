@@ -13,7 +13,8 @@ Passages are twice as long as the longest item and overlap by half, so every str
 of a text as long as an item lies whole in some passage.
 
 The index is broadcast.  A benchmark above ``index_bytes`` of text is divided into
-blocks of items below it, and the texts are read once for each.
+blocks of items below it, and the texts are read once for each.  Weights and passages
+rest on the whole benchmark's counts, so results do not depend on the division.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialise
 from .common import released, text_chunks
 from .substrings import Words
 
@@ -92,8 +94,20 @@ class Index:
     half: int  # words of half a passage
 
 
-def build(items: Sequence[tuple[object, str]]) -> Index | None:
-    """The index of (id, text) pairs; items without a word are left out."""
+@dataclass(frozen=True)
+class Whole:
+    """Figures of a whole benchmark of which an index holds a block."""
+
+    n: int  # items
+    mean: float  # words of an item that has any
+    longest: int
+    terms: np.ndarray  # sorted hashes of the block's terms
+    df: np.ndarray  # items of the benchmark that have each
+
+
+def build(items: Sequence[tuple[object, str]], whole: Whole | None = None) -> Index | None:
+    """The index of (id, text) pairs; items without a word are left out.  Without
+    ``whole`` they are the benchmark."""
     items = sorted(((i, t) for i, t in items if t), key=lambda x: (str(type(x[0])), x[0], x[1]))
     words = Words(_lower([t.encode() for _, t in items]), gaps=_GAPS)
     size = np.diff(words.first)
@@ -104,10 +118,13 @@ def build(items: Sequence[tuple[object, str]]) -> Index | None:
     )
     terms, term = np.unique(pair[:, 0], return_inverse=True)
     item = pair[:, 1].astype(np.int64)
-    df = np.bincount(term, minlength=len(terms))
     n = len(items)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    length = size / max(size[size > 0].mean(), 1)
+    if whole is None:
+        df = np.bincount(term, minlength=len(terms))
+        whole = Whole(n, float(size[size > 0].mean()), int(size.max()), terms, df)
+    df = whole.df[np.searchsorted(whole.terms, terms)]
+    idf = np.log1p((whole.n - df + 0.5) / (df + 0.5))
+    length = size / max(whole.mean, 1)
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item]))
     own = np.bincount(item, weight, minlength=n)
     weight = weight / own[item]
@@ -126,7 +143,7 @@ def build(items: Sequence[tuple[object, str]]) -> Index | None:
         [i for i, _ in items], terms, most, np.searchsorted(of_term, at), key % (n // BLOCK + 1),
         block_most, np.searchsorted(term, at), item, weight,
         [_shingles(asked, i, 5) for i in range(n)], [_shingles(said, i, 2) for i in range(n)],
-        np.diff(asked.first).tolist(), np.diff(said.first).tolist(), max(_SHORTEST, int(size.max())),
+        np.diff(asked.first).tolist(), np.diff(said.first).tolist(), max(_SHORTEST, whole.longest),
     )
 
 
@@ -232,14 +249,60 @@ def _share(wanted, words: Words, lo: int, hi: int, usual: int, size: int, common
     return float(np.isin(wanted, common).mean())
 
 
+def _sizes(items: DataFrame) -> tuple[int, float, int]:
+    """Number of items, mean words of those that have any, words of the longest."""
+
+    def work(batches):
+        for _, texts in text_chunks(batches, "t", _CHUNK):
+            size = np.diff(Words(_lower(texts), gaps=_GAPS).first)
+            yield pa.RecordBatch.from_arrays([pa.array(size.astype(np.int64))], ["size"])
+
+    found = items.select("t").mapInArrow(released(work), "size bigint").agg(
+        F.count("size").alias("n"), F.avg(F.when(F.col("size") > 0, F.col("size"))).alias("mean"),
+        F.max("size").alias("longest"),
+    ).first()
+    return found["n"], found["mean"] or 0.0, found["longest"] or 0
+
+
+def _frequencies(items: DataFrame) -> DataFrame:
+    """``block, term, df``: the terms of each block, with the items of all blocks that
+    have the term."""
+
+    def work(batches):
+        for batch, texts in text_chunks(batches, "t", _CHUNK):
+            words = Words(_lower(texts), gaps=_GAPS)
+            block = batch.column(0).to_numpy().astype(np.uint64)
+            pair = np.unique(np.stack([words.text.astype(np.uint64), words.each[0]], axis=1), axis=0)
+            pair[:, 0] = block[pair[:, 0].astype(np.int64)]
+            pair, n = np.unique(pair, axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pair[:, 0].astype(np.int64)), pa.array(pair[:, 1].copy().view(np.int64)), pa.array(n)],
+                ["block", "term", "df"],
+            )
+
+    each = items.select("block", "t").mapInArrow(released(work), "block bigint, term bigint, df bigint")
+    each = materialise(each.groupBy("block", "term").agg(F.sum("df").alias("df")))
+    whole = each.groupBy("term").agg(F.sum("df").alias("df"))  # of at most a row per block
+    return materialise(each.select("block", "term").join(whole, "term").select("block", "term", "df"))
+
+
 def _indexes(benchmark: DataFrame, item_id: str, text: str, index_bytes: int):
     """Indexes of all items, one for each block of items below ``index_bytes``."""
-    items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter("t is not null")
+    items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter("t <> ''")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total * 5 // (index_bytes * 4)) or 1  # room for uneven blocks
+    items = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
+    if blocks > 1:
+        sizes, frequencies = _sizes(items), _frequencies(items)
     for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
-        index = build([(r["i"], r["t"]) for r in part.collect()])  # below index_bytes
+        whole = None
+        if blocks > 1:
+            known = frequencies.filter(F.col("block") == k).toArrow()  # terms of one index
+            terms, df = known["term"].to_numpy().view(np.uint64), known["df"].to_numpy()
+            order = np.argsort(terms)
+            whole = Whole(*sizes, terms[order], df[order])
+        part = items.filter(F.col("block") == k)
+        index = build([(r["i"], r["t"]) for r in part.collect()], whole)  # below index_bytes
         if index is not None:
             yield index
 
