@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickstone.llm import substrings
 
@@ -67,6 +68,23 @@ def test_repeated_rows_and_null_id(spark):
     assert got == {(1, 40, ""), (None, 40, "y"), (2, 0, "short")}
 
 
+def test_copies_of_a_text_meet_their_window_under_many_salts(spark, monkeypatch):
+    found = []
+    real = substrings.salted_lookup
+
+    def spy(rows, facts, on, salt, salts=16):
+        dealt = rows.select(*on, F.pmod(salt, F.lit(salts)).alias("s")).groupBy(*on).agg(F.countDistinct("s").alias("k"))
+        found.append(dealt.agg(F.min("k")).first()[0])
+        return real(rows, facts, on, salt, salts)
+
+    monkeypatch.setattr(substrings, "salted_lookup", spy)
+    text = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(i, text) for i in range(200)], "doc_id bigint, text string")
+    rows = substrings.remove_repeats(df, group_size=3).collect()
+    assert all(r["n_removed"] == 50 for r in rows)
+    assert found and found[0] > 16
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert substrings.remove_repeats(df).collect() == []

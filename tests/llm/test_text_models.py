@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickstone.llm import bpe, decontaminate, langid, lines, lm, quality
-from tickstone.llm.common import fold
+from tickstone.llm.common import fold, salted_lookup
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -113,6 +113,20 @@ def test_line_rules(spark):
     assert not by_id[100]["kept"]
 
 
+def test_copies_of_a_text_meet_their_line_under_many_salts(spark, monkeypatch):
+    found = []
+
+    def spy(rows, facts, on, salt, salts=16):
+        dealt = rows.select(*on, F.pmod(salt, F.lit(salts)).alias("s")).groupBy(*on).agg(F.countDistinct("s").alias("k"))
+        found.append(dealt.agg(F.min("k")).first()[0])
+        return salted_lookup(rows, facts, on, salt, salts)
+
+    monkeypatch.setattr(lines, "salted_lookup", spy)
+    df = spark.createDataFrame([(i, "one line here\nanother line", "h") for i in range(200)], "doc_id bigint, text string, source string")
+    assert len(lines.judge(df).collect()) == 200
+    assert found and found[0] > 16
+
+
 def test_language_model(spark, docs):
     model, counts = lm.fit(docs, fold("doc_id", 7) != 2)
     rows = lm.score(docs, model, counts).collect()

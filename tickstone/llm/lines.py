@@ -149,7 +149,9 @@ def judge(
     base = base_counts(docs, doc_id, text, host)
     lines = line_rows(docs, doc_id, text, host)
     frequent = frequent_lines(lines, docs, host, text, min_docs, min_share).withColumn("hit", F.lit(True))
-    hits = salted_lookup(lines, frequent, ["host", "line"], F.col("text_hash"), 32).filter("hit")
+    # By the row: copies of a text, and of an id read by several tasks, are dealt out too.
+    salt = F.xxhash64("doc_id", "place", F.spark_partition_id())
+    hits = salted_lookup(lines, frequent, ["host", "line"], salt, 32).filter("hit")
     # Repeated rows show each of their lines several times; one counts.
     removed = hits.select("doc_id", "text_hash", "host", "place", "words").distinct().groupBy(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("host").alias("_h")

@@ -323,7 +323,9 @@ def repeats(
     if shared.value[1].any():
         long = rows.mapInArrow(released(lambda b: cut(b, True)), "_id string, _hash bigint, low bigint, high bigint, lo int")
         sizes = long.groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        known = salted_lookup(long, sizes, ["low", "high"], F.col("_hash"), 32).filter(F.col("n").isNotNull())
+        # By the row: copies of a text, and of an id read by several tasks, are dealt out too.
+        salt = F.xxhash64("_id", "lo", F.spark_partition_id())
+        known = salted_lookup(long, sizes, ["low", "high"], salt, 32).filter(F.col("n").isNotNull())
         found = found.union(known.select("_id", "_hash", "lo", (F.col("lo") + WINDOW).alias("hi")))
     return found
 
