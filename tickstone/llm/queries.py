@@ -6,9 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, lm, quality, sharding, simhash, substrings, urlfilter
+from . import (
+    audit,
+    bpe,
+    decontaminate,
+    langid,
+    lines,
+    lm,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    urlfilter,
+)
 from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
+from .oracle_sets import OP11_SQL
 from .registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -93,3 +106,10 @@ def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, counts = lm.fit(docs, fold("doc_id", 7) != 2)
     named = docs.select("doc_id", "text", (fold("doc_id", 7) == 2).alias("held_out"))
     return lm.score(named, model, counts, keep=["doc_id", "held_out"])
+
+
+@query(OP11_SQL)
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, for every source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return audit.audit(docs, table(spark, sf_dir, "labels"))
