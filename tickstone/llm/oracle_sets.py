@@ -44,3 +44,46 @@ select part, filter_order, step::int as step, kept::bigint as kept, removed::big
   (sum(removed) over (partition by part, own))::bigint as shapley
 from counted
 """
+
+
+OP13_SQL = r"""
+with crc_table as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab),
+own as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    order by turn nulls first, role, text) as s
+  from conversations where conv_id is not null group by 1),
+named as (
+  select conv_id, s, conv_id - conv_id % 20 as base,
+    xor(list_reduce(list_prepend(4294967295::bigint,
+        list_transform(string_split(conv_id::varchar, ''), lambda x: ord(x)::bigint)),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 4 as h
+  from own, crc_table),
+seq as (
+  select n.conv_id, list_concat(coalesce(b.s[1:n.h], []), n.s[n.h + 1:]) as s
+  from named n left join own b on n.base = b.conv_id),
+member as (
+  select conv_id, d as depth, len(s) as of_, s[1:d] as prefix, s[d].text as last_text
+  from (select conv_id, s, unnest(range(0, len(s) + 1)) as d from seq)),
+node as (
+  select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(last_text) as last_text,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where of_ = depth), '')) as ends
+  from member group by 1, 2),
+worth as (
+  select *, (n_convs - 1) * len(list_filter(
+    string_split_regex(coalesce(last_text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) as saves
+  from node),
+kids as (select prefix[1:depth - 1] as prefix, count(*) as n from node where depth > 0 group by 1),
+upward as (
+  select prefix[1:d] as prefix, saves, coalesce(k, 0) = 0 as leaf
+  from (select w.prefix, w.saves, kids.n as k, unnest(range(0, w.depth + 1)) as d
+        from worth w left join kids on kids.prefix = w.prefix)),
+below as (
+  select prefix, sum(saves) as saved_tokens, count(*) filter (where leaf) as n_leaves from upward group by 1)
+select w.conv_id, w.depth::bigint as depth, p.conv_id as parent_conv_id, w.n_convs,
+  coalesce(kids.n, 0) as n_children, b.n_leaves, b.saved_tokens::bigint as saved_tokens, w.ends as ends_sha256
+from worth w join below b on b.prefix = w.prefix
+  left join kids on kids.prefix = w.prefix
+  left join node p on w.depth > 0 and p.prefix = w.prefix[1:w.depth - 1] and p.depth = w.depth - 1
+"""

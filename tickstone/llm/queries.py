@@ -17,11 +17,12 @@ from . import (
     sharding,
     simhash,
     substrings,
+    trie,
     urlfilter,
 )
 from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
-from .oracle_sets import OP11_SQL
+from .oracle_sets import OP11_SQL, OP13_SQL
 from .registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -113,3 +114,9 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each of their orders, for every source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+@query(OP13_SQL)
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
