@@ -46,6 +46,19 @@ from counted
 """
 
 
+OP12_SQL = r"""
+with code as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+score as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from code q join code c on len(q.v) = len(c.v) and c.vec_id is distinct from q.vec_id
+  where q.vec_id % 50 = 0),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from score)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+"""
+
 OP13_SQL = r"""
 with crc_table as (
   select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),

@@ -17,12 +17,13 @@ from . import (
     sharding,
     simhash,
     substrings,
+    topk,
     trie,
     urlfilter,
 )
 from .common import BLANKS, fold, table
 from .oracle import OP3_SQL, OP4_SQL
-from .oracle_sets import OP11_SQL, OP13_SQL
+from .oracle_sets import OP11_SQL, OP12_SQL, OP13_SQL
 from .registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
@@ -116,6 +117,12 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(docs, table(spark, sf_dir, "labels"))
 
 
+@query(OP12_SQL)
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query(OP13_SQL)
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations."""
