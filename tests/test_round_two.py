@@ -28,6 +28,13 @@ def test_number(spark, text, value):
     ("2024-01-05T10:30+02:00", "2024-01-05 08:30:00"), ("2024-01-05 10:30:15", "2024-01-05 10:30:15"),
     ("2024-01-05T10:30:15.25Z", "2024-01-05 10:30:15.25"), ("2024-01-05T10:30Z", "2024-01-05 10:30:00"),
     ("2024-01-05T10:30:15-05:00", "2024-01-05 15:30:15"),
+    ("2024", "2024-01-01 00:00:00"), ("2024-01-05 10", "2024-01-05 10:00:00"),
+    ("2024-01-05T10", "2024-01-05 10:00:00"), ("2024-1-5 1:2:3", "2024-01-05 01:02:03"),
+    ("2024-01-05T10:30:15 Europe/Paris", "2024-01-05 09:30:15"), (" 2024-01-05T10:30:15+0100 ", "2024-01-05 09:30:15"),
+    ("2024-01-05T10:30:15.", "2024-01-05 10:30:15"), ("2024-01-05T10:30 PST", "2024-01-05 18:30:00"),
+    ("2024-01-05T", None), ("2024-01-05T10:30:15N", None), ("2024-01-05T10Z", None), ("2024-01-05Z", None),
+    ("10:30:00Z", None), ("T10:30", None), ("10:30Z", None), ("2024-02-30", None), ("2024-01-05T24:00:00", None),
+    ("300000-01-01", None), ("20240105", None), ("x 10:30Z", None),
     ("10:30:00", None), ("10:30", None), ("junk", None), ("", None), (None, None), ("2024-13-05", None),
 ])
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

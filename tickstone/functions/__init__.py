@@ -4,6 +4,7 @@ from .scalar import (
     instant,
     instant_of_millis,
     iso_utc,
+    let,
     not_blank,
     number,
     row_hash,
@@ -13,6 +14,7 @@ from .scalar import (
 )
 
 __all__ = [
-    "action", "folder_value", "instant", "instant_of_millis", "iso_utc", "not_blank", "number",
+    "action", "folder_value", "instant", "instant_of_millis", "iso_utc", "let", "not_blank",
+    "number",
     "row_hash", "row_hash_plain", "utc_day", "wall_clock_utc",
 ]

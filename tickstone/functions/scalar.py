@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,15 @@ _NUMERIC = "0123456789+-.eE \t\n\r\x0b\x0c"
 _LARGEST = 1.7976931348623157e308
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once however often ``body`` uses it.
+
+    The optimizer copies a plain expression into every place it is used, filters
+    included; a value bound this way it can only move as a whole.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def number(text: Column) -> Column:
     """Text to double; blank, junk and non-finite text become null."""
     plain = (F.length(F.translate(text, _NUMERIC, "")) == 0) & (F.length(text) > 0)
@@ -22,40 +31,38 @@ def number(text: Column) -> Column:
     return F.when(F.abs(value) <= _LARGEST, value)
 
 
+# What time text looks like when no zone is named: no clock, or one that ends in digits.
+_NO_ZONE = r"^[^:]*(:\d{1,2}(:\d{1,2}(\.\d*)?)?)?$"
+# A clock of hours and minutes with a zone behind it.
+_ZONE_AFTER_MINUTES = r"^(\S+[ T]\d{1,2}:\d{1,2}) ?([A-Za-z+-].*)$"
+
+
 def instant(text: Column) -> Column:
     """ISO text to an instant, with text that names no zone read as UTC.
 
-    The zone is added to the text rather than taken from the session, so the result
-    does not depend on ``spark.sql.session.timeZone``.  A month stands for its first
-    day, a day for its midnight and a minute for its first second; text without a
-    date is null, as it would mean another instant each day.
+    Reads what a cast to timestamp reads, and a zone after hours and minutes as well.
+    Text without a zone is read as a zone-free wall clock, so the result does not depend
+    on ``spark.sql.session.timeZone``.  A year stands for its first day, a month
+    likewise, a day for its midnight; text without a date is null, as it would mean
+    another instant each day.
     """
-    t = F.trim(text)
-    size = F.length(t)
-    day = F.regexp_extract(t, r"^([+-]?\d{4,6}-\d{1,2}-\d{1,2})([T ].*)?$", 1)
-    clock = F.substring_index(F.translate(F.substring(t, F.length(day) + 2, size), " ", ""), "Z", 1)
-    zone_at = F.regexp_instr(clock, F.lit("[A-Za-z+-]"))
-    has_zone = (zone_at > 0) | t.endswith("Z")
-    bare = F.when(zone_at > 0, F.substring(clock, F.lit(1), zone_at - 1)).otherwise(clock)
-    colons = F.length(bare) - F.length(F.translate(bare, ":", ""))
-    zone = F.when(zone_at > 0, F.substring(clock, zone_at, size)).otherwise("Z")
-    odd = (
-        F.when(t.rlike(r"^[+-]?\d{4,6}-\d{1,2}$"), F.concat(t, F.lit("-01T00:00:00Z")))
-        .when(day == "", F.lit(None))
-        .when(bare == "", F.concat(day, F.lit("T00:00:00"), zone))
-        .when(colons == 1, F.concat(day, F.lit("T"), bare, F.lit(":00"), zone))
-        .when(has_zone, t)
-        .otherwise(F.concat(t, F.lit("Z")))
-    )
-    # The two usual forms pass without a pattern being matched.
-    seconds = (size == 19) & (F.substring(t, 17, 1) == ":") & (F.substring(t, 5, 1) == "-")
-    midnight = (size == 10) & (F.substring(t, 5, 1) == "-") & (F.substring(t, 8, 1) == "-")
-    full = (
-        F.when(seconds, F.concat(t, F.lit("Z")))
-        .when(midnight, F.concat(t, F.lit("T00:00:00Z")))
-        .otherwise(odd)
-    )
-    return full.try_cast("timestamp")
+
+    def of_wall(t: Column, wall: Column) -> Column:
+        return (
+            F.when(wall.isNull(), F.lit(None).cast("timestamp"))
+            .when(t.rlike(_NO_ZONE), F.concat(wall.cast("string"), F.lit("Z")).try_cast("timestamp"))
+            .otherwise(t.try_cast("timestamp"))
+        )
+
+    def of_text(t: Column) -> Column:
+        def repaired(full: Column) -> Column:
+            return F.when(full.try_cast("timestamp_ntz").isNotNull(), full.try_cast("timestamp"))
+
+        with_seconds = F.regexp_replace(t, _ZONE_AFTER_MINUTES, "$1:00$2")
+        read = let(t.try_cast("timestamp_ntz"), lambda wall: of_wall(t, wall))
+        return F.coalesce(read, F.when(t.endswith("Z") | t.contains(":"), let(with_seconds, repaired)))
+
+    return let(F.trim(text), of_text)
 
 
 def instant_of_millis(text: Column) -> Column:

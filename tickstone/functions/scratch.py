@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -36,3 +39,33 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "part")
     df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Workspace:
+    """Copies that only one piece of work needs."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.used = spark, path, False
+
+    def store(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """``df`` written once and read back, and its row count."""
+        path, written = f"{self.path}/{uuid.uuid4().hex}", Observation()
+        self.used = True
+        counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.option("compression", "snappy").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), written.get["rows"]
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[Workspace]:
+    """A workspace, emptied when the work is done and left for replay when it fails."""
+    work = Workspace(spark, scratch_path(spark, "work"))
+    yield work
+    if work.used:
+        remove(spark, work.path)

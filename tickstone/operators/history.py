@@ -22,6 +22,8 @@ VERSION_COLUMNS = ("hash_diff", "valid_from", "valid_to", "is_current")
 # What happened to a version: kept as it was, closed, or newly opened.
 KEPT, CLOSED, OPENED = "kept", "closed", "opened"
 CHANGE = "change"
+# What becomes of rows that are not newer than the current version of their key.
+IGNORE, APPLY, SPLICE = "ignore", "apply", "splice"
 
 _KEY = "_key"
 
@@ -113,7 +115,7 @@ def scd2_compare(
     keys: Sequence[str],
     tracked: Sequence[str],
     version_ts: str = "ingest_ts",
-    late: str = "ignore",
+    late: str = IGNORE,
     hasher=row_hash,
     untouched: bool = True,
 ) -> DataFrame:
@@ -124,8 +126,8 @@ def scd2_compare(
     ``late="ignore"`` drops rows that are not newer than the current version of
     their key; ``"apply"`` lets them replace it all the same.
     """
-    if late not in ("ignore", "apply"):
-        raise ValueError(f"late must be 'ignore' or 'apply', not {late!r}")
+    if late not in (IGNORE, APPLY):
+        raise ValueError(f"late must be '{IGNORE}' or '{APPLY}', not {late!r}")
     columns = history.columns
     key = F.struct(*keys)  # as a struct, null keys equal each other
 
@@ -139,7 +141,7 @@ def scd2_compare(
     has_new, has_old = F.col("new").isNotNull(), F.col("old").isNotNull()
     differs = F.coalesce(F.col("new.hash_diff") != F.col("old.hash_diff"), F.lit(True))
     replaces = has_new & has_old & differs
-    if late == "ignore":
+    if late == IGNORE:
         newer = F.col(f"new.{version_ts}") > F.col(f"old.{version_ts}")
         replaces = replaces & F.coalesce(newer, F.col(f"old.{version_ts}").isNull())
 
@@ -175,13 +177,101 @@ def scd2_changes(*args, **options) -> DataFrame:
     return scd2_compare(*args, **options, untouched=False).filter(F.col(CHANGE) != KEPT)
 
 
+def _spliced(
+    incoming: DataFrame, stored: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+    version_ts: str, late: str, hasher, long_series: int | None,
+) -> DataFrame:
+    """The chain of versions of each key after every state of a batch took its place.
+
+    Each row has a stored version's columns, with ``_old`` (its former ``valid_from``,
+    ``valid_to`` and ``is_current``) where it is one.  A state equal to the one before it
+    adds nothing; one equal to the stored version after it moves that one's start.  At an
+    instant that has a stored version, that one stands.
+    """
+    if late not in (IGNORE, SPLICE):
+        raise ValueError(f"all versions are kept with late='{IGNORE}' or '{SPLICE}', not {late!r}")
+    columns = stored.columns
+    plain = stored.drop("valid_from", "valid_to", "is_current")
+    hashed = with_hash(incoming, tracked, hasher)
+    new = dedupe_latest(hashed.select(*_aligned(hashed, plain)), [*keys, version_ts], [version_ts])
+    if late == IGNORE:
+        seen = stored.select(F.struct(*keys).alias(_KEY), F.col(version_ts).alias("_seen"))
+        new = new.withColumn(_KEY, F.struct(*keys)).join(seen, _KEY, "left").filter(
+            F.col("_seen").isNull() | (F.col(version_ts) > F.col("_seen"))
+        ).drop(_KEY, "_seen")
+    else:
+        taken = stored.select(F.struct(*keys, F.col("valid_from").alias("at")).alias(_KEY))
+        new = new.withColumn(_KEY, F.struct(*keys, F.col(version_ts).alias("at"))).join(
+            taken, _KEY, "left_anti"
+        ).drop(_KEY)
+    old = F.struct("valid_from", "valid_to", "is_current")
+    no_old = F.lit(None).cast(stored.select(old.alias("o")).schema["o"].dataType)
+    rows = stored.withColumn("_old", old).withColumn("_since", F.col("valid_from")).drop(
+        "valid_from", "valid_to", "is_current"
+    ).unionByName(new.withColumn("_old", no_old).withColumn("_since", F.col(version_ts)))
+
+    order = ["_since", "hash_diff"]
+    state = F.struct("hash_diff", "_since", F.col("_old").isNotNull().alias("stored"))
+
+    def neighbour(name: str, ascending: bool):
+        def compute(part: DataFrame, by: list[str]) -> DataFrame:
+            turn = [F.col(c).asc() if ascending else F.col(c).desc() for c in order]
+            return part.withColumn(name, F.lag(state).over(Window.partitionBy(*by).orderBy(*turn)))
+
+        return compute
+
+    def along(part: DataFrame, name: str, ascending: bool = True) -> DataFrame:
+        return along_series(part, keys, 1, neighbour(name, ascending), order, ascending)
+
+    def same(name: str) -> Column:
+        return F.col("hash_diff").eqNullSafe(F.col(f"{name}.hash_diff")) & F.col(name).isNotNull()
+
+    rows = split_long_series(rows, keys, order=order, limit=long_series)
+    fresh = F.col("_old").isNull()
+    rows = along(rows, "_before").filter(~(fresh & same("_before"))).drop("_before")
+    rows = along(along(rows, "_before"), "_after", ascending=False)
+    moved = ~fresh & same("_before") & ~F.col("_before.stored")
+    absorbed = fresh & same("_after") & F.col("_after.stored")
+    rows = rows.withColumn("_since", F.when(moved, F.col("_before._since")).otherwise(F.col("_since")))
+    rows = along(rows.filter(~absorbed).drop("_before", "_after"), "_after", ascending=False)
+    rows = rows.withColumn("_to", F.col("_after._since"))
+    chain = _opened(rows, version_ts, F.col("_to")).withColumn("valid_from", F.col("_since"))
+    return chain.select(*columns, "_old")
+
+
+def splice_changes(
+    incoming: DataFrame, history: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+    version_ts: str = "ingest_ts", late: str = IGNORE, hasher=row_hash,
+    long_series: int | None = LONG_SERIES_ROWS,
+) -> DataFrame:
+    """Versions that a batch opens, or whose bounds it changes, when every distinct state
+    of it becomes a version.
+
+    ``change`` says which; ``_from`` is the ``valid_from`` a changed version had, ``_was``
+    whether it was current.  Only versions of the batch's keys take part, and with
+    ``late="ignore"`` only current ones.
+    """
+    base = history.filter("is_current") if late == IGNORE else history
+    touched = incoming.select(F.struct(*keys).alias(_KEY)).distinct()
+    stored = base.withColumn(_KEY, F.struct(*keys)).join(touched, _KEY, "left_semi").drop(_KEY)
+    chain = _spliced(incoming, stored, keys, tracked, version_ts, late, hasher, long_series)
+    kept = F.lit(True)
+    for c in ("valid_from", "valid_to", "is_current"):
+        kept = kept & F.col(c).eqNullSafe(F.col(f"_old.{c}"))
+    change = F.when(F.col("_old").isNull(), OPENED).when(~kept, CLOSED)
+    return chain.withColumns({
+        CHANGE: change, "_from": F.col("_old.valid_from"),
+        "_was": F.coalesce(F.col("_old.is_current"), F.lit(False)),
+    }).filter(F.col(CHANGE).isNotNull()).drop("_old")
+
+
 def scd2_apply(
     incoming: DataFrame,
     history: DataFrame | None,
     keys: Sequence[str],
     tracked: Sequence[str],
     version_ts: str = "ingest_ts",
-    late: str = "ignore",
+    late: str = IGNORE,
     keep_all_versions: bool = False,
     hasher=row_hash,
     long_series: int | None = LONG_SERIES_ROWS,
@@ -190,11 +280,15 @@ def scd2_apply(
 
     A key absent from the batch stays current.  Applying a batch twice equals
     applying it once.  With ``keep_all_versions`` every distinct state within
-    the batch becomes a version; otherwise only the newest row per key does.  It
-    cannot go with ``late="apply"``: a late state would lie inside a closed version.
+    the batch becomes a version; otherwise only the newest row per key does.
+
+    Rows not newer than the current version of their key are dropped with
+    ``late="ignore"``.  ``"apply"`` lets the newest of them replace that version all the
+    same; ``"splice"``, for ``keep_all_versions`` alone, puts each where it belongs in
+    time, splitting the version that was valid then.
     """
-    if keep_all_versions and late != "ignore":
-        raise ValueError("keep_all_versions needs late='ignore'")
+    if keep_all_versions and late == APPLY:
+        raise ValueError("keep_all_versions needs late='ignore' or late='splice'")
     if history is None:
         return scd2_bootstrap(
             incoming, keys, tracked, version_ts, keep_all_versions, hasher, long_series
@@ -204,23 +298,6 @@ def scd2_apply(
     if not keep_all_versions:
         now = scd2_compare(incoming, history, keys, tracked, version_ts, late, hasher)
         return past.unionByName(now.drop(CHANGE)).select(*columns)
-
-    # Current versions join the batch as the oldest state of their key; late
-    # rows are taken out first, so the chain only grows at its end.
-    hashed = with_hash(incoming, tracked, hasher)
-    hashed = hashed.select(*_aligned(hashed, history.drop("valid_from", "valid_to", "is_current")))
-    hashed = hashed.withColumn(_KEY, F.struct(*keys))
-    current = history.filter(is_current())
-    if late == "ignore":
-        seen = current.select(F.struct(*keys).alias(_KEY), F.col(version_ts).alias("_seen"))
-        hashed = hashed.join(seen, _KEY, "left").filter(
-            F.col("_seen").isNull() | (F.col(version_ts) > F.col("_seen"))
-        ).drop("_seen")
-    rows = hashed.drop(_KEY).withColumn("_since", F.col(version_ts)).unionByName(
-        current.withColumn("_since", F.col("valid_from")).drop(
-            "valid_from", "valid_to", "is_current"
-        )
-    )
-    chain = _distinct_versions(rows, keys, version_ts, long_series)
-    chain = _opened(chain, version_ts, F.col("_next")).withColumn("valid_from", F.col("_since"))
-    return past.unionByName(chain.drop("_next", "_since")).select(*columns)
+    stored = history.filter(is_current()) if late == IGNORE else history
+    chain = _spliced(incoming, stored, keys, tracked, version_ts, late, hasher, long_series)
+    return (past.unionByName(chain.drop("_old")) if late == IGNORE else chain).select(*columns)

@@ -8,16 +8,21 @@ and the rolling deviation share a single exchange.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import utc_day
+from ..functions.scratch import materialise
 from .series import LONG_SERIES_ROWS, along_series, newest_per_key, split_long_series
 
 WINDOW_ROWS = 30
 MIN_OBSERVATIONS = 10
+# How many days back a run from a day on looks for the rows its windows reach.
+BACK_DAYS = (64, 512)
+_KEY = "_series"
 
 _BAR = ("ts_utc", "asset_type", "symbol", "interval", "currency", "close", "source")
 
@@ -172,30 +177,68 @@ def volatility_from_bars(
 
 
 def with_lead_in(
-    df: DataFrame, first_day: str, rows: int, keys: Sequence[str] | None = None
+    df: DataFrame, first_day: str, rows: int, keys: Sequence[str] | None = None,
+    back_days: Sequence[int] = (),
 ) -> DataFrame:
-    """The rows from ``first_day`` on and, per series, the ``rows`` newest
-    rows before it: what a window of that length needs to recompute those days.
-
-    The lead-in is counted in rows per series, so gaps of any length are fine.
+    """The rows from ``first_day`` on and, for every series that has any, the ``rows``
+    newest rows before it: what a window of that length needs to recompute those days.
+
+    The lead-in is counted in rows per series, so gaps of any length are fine.  With
+    ``back_days``, for stored tables, it is looked for in the last ``back_days[0]`` days
+    first, then further back for the series that are still short of rows, at last in all
+    days; a day filter reaches the scan each time, and a step that no series needs is
+    not read.  Without, one pass over all days takes the rows before of every series.
     """
     keys = list(keys or S.series_keys(df))
     day = F.col("date") if "date" in df.columns else utc_day(df)
-    older = newest_per_key(df.filter(day < first_day), keys, [F.col("ts_utc").desc()], rows)
-    return df.filter(day >= first_day).unionByName(older)
-
-
-def returns_since(bars: DataFrame, first_day: str, **options) -> DataFrame:
+    if not back_days:
+        older = newest_per_key(df.filter(day < first_day), keys, [F.col("ts_utc").desc()], rows)
+        return df.filter(day >= first_day).unionByName(older)
+    key = F.struct(*keys).alias(_KEY)  # as a struct, null keys equal each other
+    fresh = df.filter(day >= first_day)
+    parts, short, until = [fresh], materialise(fresh.select(key).distinct()), first_day
+    for back in (*back_days, None):
+        older = df.filter(day < until)
+        if back is not None:
+            until = str(date.fromisoformat(first_day) - timedelta(days=back))
+            older = older.filter(day >= until)
+        # Stored, as it is small: it is counted here and windowed later.
+        found = materialise(newest_per_key(
+            older.withColumn(_KEY, key).join(short, _KEY, "left_semi"), [_KEY],
+            [F.col("ts_utc").desc()], rows,
+        ))
+        parts.append(found.drop(_KEY))
+        if back is None:
+            break
+        seen = parts[1].select(key)
+        for more in parts[2:]:
+            seen = seen.unionByName(more.select(key))
+        enough = seen.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= rows)
+        short = materialise(short.join(enough, _KEY, "left_anti"))
+        if short.isEmpty():
+            break
+    lead = parts[1]
+    for more in parts[2:]:
+        lead = lead.unionByName(more)
+    if len(parts) > 2:
+        lead = newest_per_key(lead, keys, [F.col("ts_utc").desc()], rows)
+    return fresh.unionByName(lead)
+
+
+def returns_since(
+    bars: DataFrame, first_day: str, back_days: Sequence[int] = (), **options
+) -> DataFrame:
     """The rows of ``returns(bars)`` from ``first_day`` on, from those days'
     bars and one earlier bar per series."""
-    recent = with_lead_in(bars, first_day, 1, options.get("keys"))
+    recent = with_lead_in(bars, first_day, 1, options.get("keys"), back_days)
     return returns(recent, **options).filter(F.col("date") >= first_day)
 
 
 def volatility_since(
-    returns: DataFrame, first_day: str, window_rows: int = WINDOW_ROWS, **options
+    returns: DataFrame, first_day: str, window_rows: int = WINDOW_ROWS,
+    back_days: Sequence[int] = (), **options
 ) -> DataFrame:
     """The rows of ``volatility(returns)`` from ``first_day`` on, from those
     days' returns and ``window_rows - 1`` earlier ones per series."""
-    recent = with_lead_in(returns, first_day, window_rows - 1, options.get("keys"))
+    recent = with_lead_in(returns, first_day, window_rows - 1, options.get("keys"), back_days)
     return volatility(recent, window_rows, **options).filter(F.col("date") >= first_day)

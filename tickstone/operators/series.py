@@ -30,6 +30,10 @@ LONG_SERIES_ROWS = 2_000_000
 # (100,000 keys are a few MB).
 BROADCAST_SERIES = 100_000
 
+# The rows per key up to which Spark cuts before the exchange
+# (``spark.sql.optimizer.windowGroupLimitThreshold``).
+MAP_SIDE_ROWS = 1000
+
 CHUNK = "_chunk"
 _COPY = "_copy"
 _KEY = "_series"
@@ -119,13 +123,31 @@ def along_series(
 
 
 def newest_per_key(
-    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], k: int = 1
+    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], k: int = 1,
+    long_series: int | None = LONG_SERIES_ROWS,
 ) -> DataFrame:
     """The ``k`` first rows per key.
 
-    Spark cuts each map task's rows to ``k`` per key before the exchange, so a
-    key with very many copies does not load one task.  It does so for ``k`` up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); for more, raise that.
+    Spark cuts each map task's rows to ``k`` per key before the exchange, so a key with
+    very many copies does not load one task.  It does so for ``k`` up to a thousand.
+    For more, keys are counted, and if one has over ``long_series`` rows, all keys are
+    first cut to ``k`` rows in each of so many parts that a part of the longest stays
+    below that; what is left is cut again in the same way.  ``long_series=None`` says
+    that no key is that long.
     """
     w = Window.partitionBy(*keys).orderBy(*newest_first)
+    if k > MAP_SIDE_ROWS and long_series is not None:
+        key = F.struct(*keys)
+        sizes = df.groupBy(key.alias(_KEY)).agg(F.count(F.lit(1)).alias("_rows"))
+        most = sizes.agg(F.max("_rows").alias("most")).first()["most"] or 0
+        while most > long_series and -(-most // long_series) * k < most:
+            parts = -(-most // long_series)
+            # By the row's values and its task, so that copies of a row are dealt out too
+            # and a repeated task deals them alike.
+            part = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(parts))
+            cut = Window.partitionBy(*keys, "_part").orderBy(*newest_first)
+            df = df.withColumn("_part", part).withColumn("_rn", F.row_number().over(cut)).filter(
+                F.col("_rn") <= k
+            ).drop("_part", "_rn")
+            most = parts * k
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from .series import newest_per_key
+from .series import LONG_SERIES_ROWS, newest_per_key
 
 PAGE_ROWS = 100
 PAGE_MAX = 1000
@@ -74,10 +74,15 @@ def _tie_break(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != "ts_utc"]
 
 
-def series_topk(df: DataFrame, k: int, keys: Sequence[str] | None = None) -> DataFrame:
-    """The ``k`` newest rows of every series at once."""
+def series_topk(
+    df: DataFrame, k: int, keys: Sequence[str] | None = None,
+    long_series: int | None = LONG_SERIES_ROWS,
+) -> DataFrame:
+    """The ``k`` newest rows of every series at once; rows of one instant are told apart
+    by their other columns."""
     keys = list(keys or S.series_keys(df))
-    return newest_per_key(df, keys, [F.col("ts_utc").desc()], k)
+    order = [F.col("ts_utc").desc(), *(F.col(c) for c in _tie_break(df))]
+    return newest_per_key(df, keys, order, k, long_series)
 
 
 def symbols(df: DataFrame, asset_type: str | None = None) -> DataFrame:

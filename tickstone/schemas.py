@@ -15,6 +15,14 @@ SOURCE_FX = "frankfurter"
 SOURCE_CANDLES = "twelvedata"
 PRICE_SOURCES = (SOURCE_SPOT, SOURCE_HISTORY, SOURCE_FX)
 
+# Where each source's responses lie below the bronze root.
+SOURCE_FOLDERS = {
+    SOURCE_SPOT: "coingecko/crypto_simple_price",
+    SOURCE_HISTORY: "coingecko/crypto_market_chart",
+    SOURCE_FX: "frankfurter/forex_latest",
+    SOURCE_CANDLES: "twelvedata/time_series",
+}
+
 ASSET_CRYPTO = "crypto"
 ASSET_FOREX = "forex"
 ASSET_STOCK = "stock"
@@ -78,7 +86,7 @@ MANIFEST = _struct(
     "request_params string, record_count bigint, status string"
 )
 
-# --- silver ----------------------------------------------------------------
+# --- silver: fixed values, the names and order of stored columns -------------
 PRICES = _struct(
     "ts_utc timestamp, date string, asset_type string, symbol string, interval string, "
     "currency string, price double, source string, run_id string, ingest_ts timestamp"
@@ -90,13 +98,21 @@ CANDLES = _struct(
     "currency string, source string, run_id string, ingest_ts timestamp"
 )
 
+# Not stored by anyone else: what of a response did not become a row.
+REJECTS = _struct(
+    "source string, dataset string, run_id string, ingest_ts timestamp, file string, place int, "
+    "reason string, item string"
+)
+REJECT_PARTITIONS = ("source", "date")
+STORED_REJECTS = T.StructType([*REJECTS.fields, T.StructField("date", T.StringType())])
+
 _VERSIONS = _struct(
     "hash_diff string, valid_from timestamp, valid_to timestamp, is_current boolean"
 )
 PRICE_HISTORY = T.StructType(PRICES.fields + _VERSIONS.fields)
 CANDLE_HISTORY = T.StructType(CANDLES.fields + _VERSIONS.fields)
 
-# --- gold ------------------------------------------------------------------
+# --- gold: fixed values, the names and order of stored columns ---------------
 RETURNS = _struct(
     "ts_utc timestamp, date string, asset_type string, symbol string, return_1d double, "
     "close double, close_prev double, source string, interval string, currency string"

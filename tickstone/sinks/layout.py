@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_FILE = 2_000_000
 FOLDERS_PER_TASK = 32
+FILE_BYTES = 128 << 20
+# A big folder's rows are dealt to parts of about so many files before they are summed up.
+FILES_PER_PART = 16
 # Above this many huge folders their list is joined instead of broadcast.
 BROADCAST_FOLDERS = 100_000
 
@@ -44,3 +47,59 @@ def by_folder(
     piece = F.pmod(F.xxhash64(*df.columns), F.coalesce("_pieces", F.lit(1)))
     spread = df.join(huge, list(folders), "left").withColumn("_piece", piece)
     return spread.repartition(tasks, *folders, "_piece").select(*df.columns)
+
+
+def by_bytes(
+    df: DataFrame, folders: Sequence[str], size: str, file_bytes: int = FILE_BYTES
+) -> DataFrame:
+    """Bring each folder's rows together in files of at most ``file_bytes`` by the column
+    ``size``, a row of more than half of that in a file of its own.
+
+    Rows of a big folder are dealt to parts by hash, and each part is cut where its
+    running sum of sizes passes a multiple of half the bound: what lies between two cuts
+    and the row that starts there stay within it.  Pieces of a folder go to different
+    tasks, as a task writes one file for a folder.  Reads ``df`` once more for the sums,
+    so it should be stored or cheap, and its rows must not change between two reads.
+    """
+    half = max(file_bytes // 2, 1)
+    sums = df.groupBy(*folders).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_bytes"), F.max(size).alias("_most")
+    )
+    big = F.col("_bytes") > file_bytes
+    parts = F.when(big, F.ceil(F.col("_bytes") / (file_bytes * FILES_PER_PART))).otherwise(1)
+    found = sums.agg(
+        F.count(F.lit(1)).alias("folders"), F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
+        F.count_if(big).alias("big"), F.max(parts).alias("parts"),
+    ).first()
+    tasks = max(
+        -(-found["folders"] // FOLDERS_PER_TASK), int(-(-found["bytes"] // file_bytes)), 1
+    )
+    if not found["big"]:
+        return df.repartition(tasks, *folders)
+    wide = sums.filter(big).select(
+        F.struct(*folders).alias("_folder"), parts.cast("int").alias("_parts")
+    )
+    wide = F.broadcast(wide) if found["big"] <= BROADCAST_FOLDERS else wide
+    keyed = df.withColumn("_folder", F.struct(*folders)).join(wide, "_folder", "left")
+    row = F.xxhash64(*df.columns)
+    dealt = keyed.filter("_parts is not null").withColumns({
+        "_row": row, "_part": F.pmod(row, F.col("_parts")).cast("int"),
+    })
+    # Rows above half the bound count as whole pieces, in the order of all others.
+    order = Window.partitionBy("_folder", "_part").orderBy("_row", *df.columns)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    alone = F.col(size) > half
+    dealt = dealt.withColumns({
+        "_small": F.coalesce(F.sum(F.when(~alone, F.col(size))).over(before), F.lit(0)),
+        "_alone": F.coalesce(F.sum(F.when(alone, 1)).over(before), F.lit(0)),
+    }).withColumn("_piece", F.when(
+        alone, 2 * F.col("_alone") + 1
+    ).otherwise(2 * F.floor(F.col("_small") / half))).drop("_row", "_small", "_alone")
+    pieces = dealt.agg(F.max("_piece").alias("p")).first()["p"] + 1
+    tasks = max(tasks, int(found["parts"]) * int(pieces))
+    place = F.col("_part") * F.lit(int(pieces)) + F.col("_piece")
+    whole = keyed.filter("_parts is null").withColumns({"_part": F.lit(0), "_piece": F.lit(0)})
+    spread = dealt.unionByName(whole.select(*dealt.columns))
+    start = F.pmod(F.xxhash64("_folder"), F.lit(tasks))
+    at = F.pmod(start + place.cast("bigint"), F.lit(tasks)).cast("int")
+    return spread.repartitionById(tasks, at).select(*df.columns)

@@ -1,32 +1,38 @@
 """Writing partitioned tables.
 
-A table that is also an input is never overwritten in place: the new rows go
-to a staging folder first, and the table's touched partitions are replaced from
-there.  A job lost half-way leaves the staging copy to replay.
+Rows go to their folders in one write: Spark collects the new files beside the table and
+moves them into place when all tasks are done.  Only where a table is also an input are
+its new partitions stored apart first, so that a job lost while files are moved can be
+replayed; that copy goes when the write is done.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import not_blank, row_hash, wall_clock_utc
-from ..functions.scratch import scratch_path
+from ..functions.scratch import remove, workspace
 from ..operators.history import (
     CHANGE,
     CLOSED,
+    IGNORE,
     OPENED,
+    SPLICE,
     is_current,
-    scd2_apply,
     scd2_bootstrap,
     scd2_changes,
+    splice_changes,
 )
 from ..operators.latest import dedupe_latest
 from ..sources.files import read_table
-from .layout import by_folder
+
+# Up to so many values of a partition column are named in a filter, which prunes folders
+# one by one; beyond, their range does.
+NAMED_VALUES = 1000
 
 
 def _storable(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -35,41 +41,35 @@ def _storable(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.withColumns(names)
 
 
-def stage(df: DataFrame, partitions: Sequence[str] = S.PARTITIONS) -> tuple[DataFrame, int]:
-    """``df`` written to the shared folder and read back, and its row count."""
-    spark = df.sparkSession
-    df = _storable(df, partitions)
-    path, written = scratch_path(spark, "stage"), Observation()
-    (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.option("compression", "snappy")
-        .parquet(path)
-    )
-    return spark.read.schema(df.schema).parquet(path), written.get["rows"]
-
-
 def write_partitioned(
-    df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS, whole: bool = False
+    df: DataFrame, path: str, partitions: Sequence[str] = S.PARTITIONS, whole: bool = False,
+    from_itself: bool = True,
 ) -> int:
     """Replace the partitions ``df`` has rows for, or with ``whole`` all of the table;
     returns the rows written.
 
-    The rows are staged first, so ``df`` may derive from the table at ``path``.
+    ``df`` may derive from the table at ``path``; with ``from_itself=False`` the caller
+    says that it does not, which saves a copy.
     """
-    return _replace(*stage(df, partitions), path, partitions, whole)
+    df = _storable(df, partitions)
+    if not from_itself:
+        return _write(df, path, partitions, whole)
+    with workspace(df.sparkSession) as work:
+        staged, rows = work.store(df)
+        if not rows and not whole:
+            return 0
+        if _write(staged, path, partitions, whole) != rows:
+            raise RuntimeError(f"{path}: {rows} rows staged, another number written")
+    return rows
 
 
-def _replace(
-    staged: DataFrame, rows: int, path: str, partitions: Sequence[str], whole: bool = False
-) -> int:
-    if not rows:
-        if whole and read_table(staged.sparkSession, path, staged.schema) is not None:
-            emptied = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            emptied.partitionBy(*partitions).parquet(path)
-        return 0
-    written = Observation()
+def _write(df: DataFrame, path: str, partitions: Sequence[str], whole: bool = False) -> int:
+    """One write.  Rebalancing brings a folder's rows together, lets small folders share
+    a task and gives a huge one several, by the sizes the shuffle finds."""
+    known, written = read_table(df.sparkSession, path, df.schema) is not None, Observation()
     (
-        by_folder(staged, partitions)
+        df.hint("rebalance", *partitions)
+        # Behind the exchange, so that it is also counted when that finds no rows.
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
@@ -77,23 +77,33 @@ def _replace(
         .partitionBy(*partitions)
         .parquet(path)
     )
-    if written.get["rows"] != rows:
-        raise RuntimeError(f"{path}: staged {rows} rows but wrote {written.get['rows']}")
+    rows = written.get["rows"]
+    if not rows and not known:
+        remove(df.sparkSession, path)  # nothing written makes no table
     return rows
 
 
+def _holding(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Stored rows whose partition value is among those of a column of ``wanted``, or at
+    least in their range; either way only such folders are read."""
+    if column not in wanted.columns or column not in df.columns:
+        return df
+    named = [r[0] for r in wanted.select(column).distinct().limit(NAMED_VALUES + 1).collect()]
+    if len(named) <= NAMED_VALUES:
+        return df.filter(F.col(column).isin(named))
+    span = wanted.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    return df.filter(F.col(column).between(span["lo"], span["hi"]))
+
+
 def in_partitions_of(
     df: DataFrame, touched: DataFrame, partitions: Sequence[str] = S.PARTITIONS
 ) -> DataFrame:
     """The rows of a stored table that share a partition with ``touched``."""
-    span = touched.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    if span["lo"] is None:
-        return df.limit(0)
     parts = touched.select(*partitions).distinct()
-    # The day range prunes folders; the join settles the rest exactly.
-    return df.filter(F.col("date").between(span["lo"], span["hi"])).join(
-        parts, list(partitions), "left_semi"
-    )
+    for column in partitions:
+        df = _holding(df, column, parts)
+    # The values prune folders; the join settles the rest exactly.
+    return df.join(parts, list(partitions), "left_semi")
 
 
 def upsert(
@@ -102,16 +112,27 @@ def upsert(
     schema,
     keys: Sequence[str],
     partitions: Sequence[str] = S.PARTITIONS,
+    stored: bool = False,
 ) -> int:
     """Merge rows into a table: the newest row per key stays, and rows of other
     sources in the same partition survive.  Returns the rows of the partitions
-    rewritten."""
-    fresh, rows = stage(dedupe_latest(df.select(*schema.fieldNames()), keys), partitions)
-    stored = read_table(df.sparkSession, path, schema) if rows else None
-    if stored is None:
-        return _replace(fresh, rows, path, partitions)
-    merged = in_partitions_of(stored, fresh, partitions).unionByName(fresh)
-    return write_partitioned(dedupe_latest(merged, keys), path, partitions)
+    rewritten.
+
+    Rows of a new table are written once.  Otherwise ``df`` is read several times and is
+    stored first, unless the caller says that it is ``stored`` already.
+    """
+    fresh = _storable(df.select(*schema.fieldNames()), partitions)
+    old = read_table(df.sparkSession, path, schema)
+    if old is None:
+        return _write(dedupe_latest(fresh, keys), path, partitions)
+    with workspace(df.sparkSession) as work:
+        if not stored:
+            fresh, rows = work.store(dedupe_latest(fresh, keys))
+            if not rows:
+                return 0
+        merged = in_partitions_of(old, fresh, partitions).unionByName(fresh)
+        staged, rows = work.store(dedupe_latest(merged, keys))
+        return _write(staged, path, partitions) if rows else 0
 
 
 def apply_versions(
@@ -122,79 +143,60 @@ def apply_versions(
     tracked: Sequence[str],
     partitions: Sequence[str] = S.PARTITIONS,
     version_ts: str = "ingest_ts",
-    late: str = "ignore",
+    late: str = IGNORE,
     keep_all_versions: bool = False,
     hasher=row_hash,
 ) -> dict[str, int]:
     """Apply a batch to a stored history; returns versions opened and closed.
 
-    Only the partitions of those versions are rewritten.  Current versions meet the
-    batch in one left join; where the key holds the time, only those of the batch's
-    days are read.  ``keep_all_versions`` compares the whole chain instead.
+    Only the versions that the batch opens, closes or displaces are staged, and only the
+    partitions they lie in are rewritten.  Of the history, the current versions under the
+    batch's partition values are read, with ``late="splice"`` also the closed ones.
+    See :func:`~tickstone.operators.history.scd2_apply` for the options.
     """
-    if keep_all_versions and late != "ignore":
-        raise ValueError("keep_all_versions needs late='ignore'")
+    if keep_all_versions and late not in (IGNORE, SPLICE):
+        raise ValueError("keep_all_versions needs late='ignore' or late='splice'")
     columns = schema.fieldNames()
     # Keys are compared as they are stored, so a null name meets its stored stand-in.
     incoming = _storable(incoming, partitions)
     history = read_table(incoming.sparkSession, path, schema)
     if history is None:
         first = scd2_bootstrap(incoming, keys, tracked, version_ts, keep_all_versions, hasher)
-        return {OPENED: write_partitioned(first.select(*columns), path, partitions), CLOSED: 0}
-    if keep_all_versions:
-        return _apply_chain(incoming, history, path, keys, tracked, partitions, version_ts, hasher)
-
+        return {OPENED: _write(first.select(*columns), path, partitions), CLOSED: 0}
     known = history
-    if "ts_utc" in keys and "date" in incoming.columns:
-        known = _in_days_of(history, incoming)
-    changes, rows = stage(
-        scd2_changes(incoming, known, keys, tracked, version_ts, late, hasher), partitions
-    )
-    if not rows:
-        return {OPENED: 0, CLOSED: 0}
-    opened = changes.filter(F.col(CHANGE) == OPENED).count()
-    around = in_partitions_of(history, changes, partitions)
-    replaced = changes.filter(F.col(CHANGE) == CLOSED).select(F.struct(*keys).alias("_key"))
-    still_current = (
-        around.filter("is_current")
-        .withColumn("_key", F.struct(*keys))
-        .join(replaced, "_key", "left_anti")
-        .drop("_key")
-    )
-    rewritten = (
-        around.filter(~is_current()).unionByName(still_current).unionByName(changes.drop(CHANGE))
-    )
-    write_partitioned(rewritten, path, partitions)
-    return {OPENED: opened, CLOSED: rows - opened}
-
-
-def _in_days_of(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The part of a stored history within the days a batch spans."""
-    span = incoming.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    return history.filter(F.col("date").between(span["lo"], span["hi"]))
-
-
-def _apply_chain(
-    incoming, history, path, keys, tracked, partitions, version_ts, hasher
-) -> dict[str, int]:
-    """Every distinct state of a batch becomes a version of the stored history."""
-    columns = history.columns
-    after, _ = stage(
-        scd2_apply(incoming, history, keys, tracked, version_ts, "ignore", True, hasher), partitions
-    )
-    same = F.lit(True)
-    old = history.select(*(F.col(c).alias(f"_{c}") for c in columns))
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    changed, rows = stage(after.join(old, same, "left_anti"), partitions)
-    if not rows:
-        return {OPENED: 0, CLOSED: 0}
-    known = F.lit(True)
-    for c in (*keys, "valid_from"):
-        known = known & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    closed = changed.join(old, known, "left_semi").count()
-    write_partitioned(in_partitions_of(after, changed, partitions), path, partitions)
-    return {OPENED: rows - closed, CLOSED: closed}
+    for column in partitions:
+        # A key's versions share its own partition values; where the key holds the time,
+        # they share the day too.
+        if column in keys or (column == "date" and "ts_utc" in keys):
+            known = _holding(known, column, incoming)
+    with workspace(incoming.sparkSession) as work:
+        if keep_all_versions:
+            found = splice_changes(incoming, known, keys, tracked, version_ts, late, hasher)
+        else:
+            found = scd2_changes(incoming, known, keys, tracked, version_ts, late, hasher)
+        changes, rows = work.store(_storable(found, partitions))
+        if not rows:
+            return {OPENED: 0, CLOSED: 0}
+        counts = {r[CHANGE]: r["count"] for r in changes.groupBy(CHANGE).count().collect()}
+        around = in_partitions_of(history, changes, partitions)
+        if not keep_all_versions:  # only current versions are closed, and keep their start
+            changes = changes.withColumns({"_was": F.lit(True), "_from": F.col("valid_from")})
+        replaced = changes.filter(F.col(CHANGE) != OPENED).select(
+            _version(keys, F.col("_from"), F.col("_was"))
+        )
+        rest = around.withColumn("_version", _version(keys, F.col("valid_from"), is_current())).join(
+            replaced, "_version", "left_anti"
+        )
+        staged, _ = work.store(rest.select(*columns).unionByName(changes.select(*columns)))
+        _write(staged, path, partitions)
+    return {OPENED: counts.get(OPENED, 0), CLOSED: counts.get(CLOSED, 0)}
+
+
+def _version(keys: Sequence[str], start: Column, was_current: Column) -> Column:
+    """What tells a stored version from all others."""
+    return F.struct(
+        *keys, start.alias("start"), "hash_diff", was_current.alias("current")
+    ).alias("_version")
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
@@ -203,3 +205,19 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
         wall_clock_utc(F.current_timestamp()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
     )
     predictions.withColumn("generated_at", now).write.mode("overwrite").json(path)
+
+
+def write_predictions_document(predictions: DataFrame, path: str) -> None:
+    """Predictions as one document, ``{"generated_at": …, "predictions": […]}``.
+
+    The document is one value, so this is for as many series as one task can hold;
+    :func:`write_predictions` has no such bound.
+    """
+    fields = S.PREDICTIONS_DOCUMENT["predictions"].dataType.elementType.fieldNames()
+    now = F.date_format(
+        wall_clock_utc(F.current_timestamp()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+    )
+    one = predictions.agg(
+        now.alias("generated_at"), F.sort_array(F.collect_list(F.struct(*fields))).alias("predictions")
+    )
+    one.coalesce(1).write.mode("overwrite").json(path)

@@ -30,12 +30,17 @@ def _or_none(make):
         raise
 
 
-def _files(spark: SparkSession, root: str, date: str | None, name: str, schema: T.StructType):
+def _files(
+    spark: SparkSession, root: str, date: str | None, name: str, schema: T.StructType,
+    folder: str | None = None,
+):
     """JSON files anywhere below ``<root>/<source>/<dataset>/date=…``.
 
-    With a day only that day's folders are listed.
+    With a day only that day's folders are listed, with a ``folder`` only those below it.
     """
-    path = f"{root.rstrip('/')}/*/*/date={date}" if date else root
+    path = root.rstrip("/")
+    if date or folder:
+        path = f"{path}/{folder or '*/*'}" + (f"/date={date}" if date else "")
     reader = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", "true")
@@ -57,9 +62,11 @@ def read_bronze(
     """Every landed response, with ``ingest_ts`` parsed and its ``input_file``.
 
     Folders may or may not have a ``symbol=`` or ``coin=`` level.  Lines that
-    are not valid JSON keep their text in ``_corrupt_record``.
+    are not valid JSON keep their text in ``_corrupt_record``.  Of a source with a folder
+    of its own (``schemas.SOURCE_FOLDERS``) only that one's files are listed and read.
     """
-    df = _files(spark, root, date, BRONZE_FILES, S.BRONZE)
+    folder = S.SOURCE_FOLDERS.get(source)
+    df = _files(spark, root, date, BRONZE_FILES, S.BRONZE, folder)
     if df is None:
         df = spark.createDataFrame([], S.BRONZE).withColumn("input_file", F.lit(""))
     else:
@@ -118,3 +125,23 @@ def storage_inventory(df: DataFrame) -> DataFrame:
         F.sum("_size").alias("bytes"),
         F.sum("_rows").alias("rows"),
     )
+
+
+def file_inventory(spark: SparkSession, root: str, name: str = "*") -> DataFrame:
+    """Files and bytes per folder below ``root``, from the listing alone.
+
+    No file is opened, so files without rows count too.  Files of no bytes are not
+    listed, nor are folders without files.  Empty when ``root`` does not exist.
+    """
+    reader = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", name)
+    )
+    df = _or_none(lambda: reader.load(root))
+    if df is None:
+        df = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    return df.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("bytes"),
+        F.max("modificationTime").alias("modified"),
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import wall_clock_utc
+from ..functions import folder_value, wall_clock_utc
 from ..functions.scratch import scratch_path
 from ..operators import ledger as L
 from ..operators import payloads
@@ -232,18 +232,194 @@ def files_candle_history(spark, sf):
     return _zone_free(df, "ts_utc", "valid_from", "valid_to")
 
 
+# --- every version, and rows that come late ---------------------------------
+
+
+def _states(spark, sf, symbol, currency=None):
+    """Events as silver prices whose price moves in steps, so that states repeat."""
+    ev = B.table(spark, sf, "events")
+    at = F.to_timestamp(B.iso("ts"))
+    return ev.select(
+        "event_id", at.alias("ts_utc"), F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.lit("crypto").alias("asset_type"), symbol.alias("symbol"), F.lit("spot").alias("interval"),
+        (F.lit("usd") if currency is None else currency).alias("currency"),
+        (F.floor(F.col("value") / 200) * 200.0).alias("price"), F.lit("events").alias("source"),
+        F.lit("r").alias("run_id"), at.alias("ingest_ts"),
+    )
+
+
+def _history_of(spark, batches, **options):
+    """The stored history after the batches, in turn."""
+    path = scratch_path(spark, "history")
+    for batch in batches:
+        tables.apply_versions(
+            batch.select(*S.PRICES.fieldNames()), path, S.PRICE_HISTORY, S.PRICE_VERSION_KEYS,
+            ["price"], **options,
+        )
+    df = files.read_table(spark, path, S.PRICE_HISTORY).select(
+        "symbol", "currency", "price", "valid_from", "valid_to", "is_current"
+    )
+    return _zone_free(df, "valid_from", "valid_to")
+
+
+_CHAIN_SQL = """
+SELECT symbol, currency, price, ts AS valid_from,
+       lead(ts) OVER (PARTITION BY symbol, currency ORDER BY ts) AS valid_to,
+       lead(ts) OVER (PARTITION BY symbol, currency ORDER BY ts) IS NULL AS is_current
+FROM (SELECT *, lag(price) OVER (PARTITION BY symbol, currency ORDER BY ts) AS before_ FROM s)
+WHERE price IS DISTINCT FROM before_"""
+_STEP = "floor(\"value\" / 200) * 200.0 AS price"
+
+
+@query(f"WITH s AS (SELECT event_type AS symbol, 'usd' AS currency, {_STEP}, ts FROM events) {_CHAIN_SQL}")
+def files_history_all_versions(spark, sf):
+    """Every state of three batches that follow each other in time."""
+    rows = _states(spark, sf, F.col("event_type"))
+    day = F.col("date")
+    parts = (day < "2024-01-10", (day >= "2024-01-10") & (day < "2024-01-20"), day >= "2024-01-20")
+    return _history_of(spark, [rows.filter(p) for p in parts], keep_all_versions=True)
+
+
+# The versions that are left are what the next batch meets: a repeated state that added
+# no version is not remembered.
+_LATE_SQL = "WITH c0 AS (SELECT '' AS symbol, '' AS currency, 0.0 AS price, now()::timestamp AS ts WHERE false)"
+for _k, _of in enumerate((1, 0, 2)):
+    _LATE_SQL += f""",
+u{_k} AS (SELECT symbol, currency, price, ts FROM c{_k} UNION ALL
+  SELECT event_type, 'usd', {_STEP}, ts FROM events WHERE event_id % 3 = {_of}),
+c{_k + 1} AS (SELECT symbol, currency, price, ts FROM (
+  SELECT *, lag(price) OVER (PARTITION BY symbol, currency ORDER BY ts) AS before_ FROM u{_k})
+  WHERE price IS DISTINCT FROM before_)"""
+
+
+@query(f"{_LATE_SQL}, s AS (SELECT * FROM c3) {_CHAIN_SQL}")
+def files_history_late(spark, sf):
+    """Three batches of interleaved times: late states split the versions they fall into."""
+    rows = _states(spark, sf, F.col("event_type"))
+    batches = [rows.filter(F.col("event_id") % 3 == k) for k in (1, 0, 2)]
+    return _history_of(spark, batches, keep_all_versions=True, late="splice")
+
+
+@query(f"""
+WITH b AS (SELECT CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'UNKNOWN' END AS symbol,
+                  CASE WHEN event_id % 4 < 2 THEN 'usd' END AS currency, {_STEP}, ts,
+                  CASE WHEN ts < '2024-01-10' THEN 1 WHEN ts < '2024-01-20' THEN 2 ELSE 3 END AS batch
+           FROM events),
+s AS (SELECT symbol, currency, max_by(price, ts) AS price, max(ts) AS ts FROM b
+      GROUP BY symbol, currency, batch) {_CHAIN_SQL}""")
+def files_history_null_key(spark, sf):
+    """The newest state of three batches, for keys with a null name, a null currency or both."""
+    known = F.when(F.col("event_id") % 2 == 0, F.col("event_type"))
+    rows = _states(spark, sf, known, F.when(F.col("event_id") % 4 < 2, F.lit("usd")))
+    day = F.col("date")
+    parts = (day < "2024-01-10", (day >= "2024-01-10") & (day < "2024-01-20"), day >= "2024-01-20")
+    return _history_of(spark, [rows.filter(p) for p in parts])
+
+
+# --- what a run leaves beside its rows ---------------------------------------
+
+
+@query("""
+SELECT source, reason, strftime(ts, '%Y-%m-%d') AS "date", count(*) AS refused
+FROM events, (VALUES ('coingecko', 'price'), ('coingecko_market_chart', 'price'), ('frankfurter', 'price'))
+  m(source, reason) GROUP BY ALL""")
+def files_rejects(spark, sf):
+    """Refused items as the job stored them, by source and landing day."""
+    silver = scratch_path(spark, "silver")
+    jobs.bronze_to_silver(spark, _land(spark, sf), silver)
+    kept = files.read_table(spark, f"{silver}/rejects", S.STORED_REJECTS)
+    return kept.groupBy("source", "reason", "date").agg(F.count(F.lit(1)).alias("refused"))
+
+
+@query("""
+SELECT 'forex' AS asset_type, 'EUR' || cur AS symbol, strftime(ts, '%Y-%m-%d') AS "date",
+       CAST(1 AS BIGINT) AS quotes
+FROM events, (VALUES ('USD'), ('GBP')) m(cur) GROUP BY ALL""")
+def files_absent_sources(spark, sf):
+    """A run where three of the four sources have not landed anything."""
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    land_bronze(B.fx_responses(spark, sf), bronze, "frankfurter", "forex_latest")
+    jobs.bronze_to_silver(spark, bronze, silver)
+    candles = files.read_table_or_empty(spark, f"{silver}/candles", S.CANDLES).select(*S.PARTITIONS)
+    quotes = files.read_table(spark, f"{silver}/prices", S.PRICES).select(*S.PARTITIONS)
+    return quotes.unionByName(candles).groupBy(*S.PARTITIONS).agg(F.count(F.lit(1)).alias("quotes"))
+
+
+@query("""
+SELECT 'twelvedata' AS source, event_type AS symbol, count(*) AS records FROM events GROUP BY ALL""")
+def files_one_source(spark, sf):
+    """Only the folder of one source is listed and read."""
+    landed = files.read_bronze(spark, _land(spark, sf), source=S.SOURCE_CANDLES)
+    return landed.groupBy("source", folder_value(F.col("input_file"), "symbol").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("records")
+    )
+
+
+@query(f"""WITH {_BARS_SQL}, {MEAN_TAIL} SELECT * EXCLUDE ("interval", currency) FROM o""")
+def files_predictions_document(spark, sf):
+    """Predictions kept as one nested document; a second one that is absent adds none."""
+    gold, out = _gold(spark, sf), scratch_path(spark, "document")
+    tables.write_predictions_document(jobs.predict(spark, gold, alpha=HUGE_ALPHA), out)
+    made = files.read_predictions_document(spark, out).unionByName(
+        files.read_predictions_document(spark, scratch_path(spark, "absent"))
+    ).drop("generated_at")
+    return B.rounded(made, 4, "prediction_return")
+
+
 @query("""
 SELECT 'crypto_simple_price-' || strftime(ts, '%Y%m%d') AS run_id, 'coingecko' AS source,
        'crypto_simple_price' AS dataset, strftime(ts, '%Y-%m-%d') AS "date",
+       strftime(min(ts), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingest_ts, '{}' AS request_params,
        count(*) AS record_count, 'success' AS status
 FROM events GROUP BY ALL""")
 def files_ledger(spark, sf):
     """Manifests written beside the data and read back as the ledger."""
     root = scratch_path(spark, "bronze")
-    records = B.spot_responses(spark, sf).withColumn("ingest_ts", F.col("date"))
+    records = B.spot_responses(spark, sf)
     land_bronze(records, root, "coingecko", "crypto_simple_price")
     write_manifests(records, root, "coingecko", "crypto_simple_price")
-    return files.read_ledger(spark, root).select(*L.RUN, "record_count", "status").drop("ingest_ts")
+    return files.read_ledger(spark, root).select(*L.RUN, "request_params", "record_count", "status")
+
+
+@query("""
+WITH m AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS "date",
+         '{"run_id":"crypto_market_chart-' || strftime(ts, '%Y%m%d')
+         || '","source":"coingecko_market_chart","dataset":"crypto_market_chart","ingest_ts":"'
+         || strftime(min(ts), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00","date":"' || strftime(ts, '%Y-%m-%d')
+         || '","record_count":' || count(*) || ',"status":"success","request_params":{"coin":["'
+         || array_to_string(list_sort(list(DISTINCT event_type)), '","') || '"],"vs_currency":"usd"}}' AS line
+  FROM events GROUP BY strftime(ts, '%Y-%m-%d'), strftime(ts, '%Y%m%d'))
+SELECT "date", CAST(1 AS BIGINT) AS files, strlen(line) + 1 AS bytes FROM m""")
+def files_inventory_bytes(spark, sf):
+    """Files and bytes of the manifests, a file a run, from the listing alone."""
+    root = scratch_path(spark, "bronze")
+    records = B.history_responses(spark, sf, "event_type")
+    write_manifests(records, root, "coingecko", "crypto_market_chart")
+    listed = files.file_inventory(spark, root, files.MANIFEST_FILES)
+    return listed.groupBy(F.regexp_extract("folder", "/date=([^/]+)/", 1).alias("date")).agg(
+        F.sum("files").alias("files"), F.sum("bytes").alias("bytes")
+    )
+
+
+@query("""
+SELECT strftime(ts, '%Y-%m-%d') AS "date", count(*) AS records, CAST(0 AS BIGINT) AS too_big
+FROM events GROUP BY ALL""")
+def files_landed_sizes(spark, sf):
+    """Responses landed in files of at most 16 KB of text, some in many for a day."""
+    root, most = scratch_path(spark, "bronze"), 16 << 10
+    records = B.history_responses(spark, sf).withColumn(
+        "run_id", F.lit("one-run")  # a day is one folder
+    )
+    land_bronze(records, root, "coingecko", "crypto_market_chart", file_bytes=most)
+    lines = spark.read.text(root, recursiveFileLookup=True).select(
+        F.octet_length("value").alias("size"), F.col("_metadata.file_path").alias("file")
+    )
+    per_file = lines.groupBy("file").agg(F.sum(F.col("size") + 1).alias("size"), F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy(folder_value(F.col("file"), "date").alias("date")).agg(
+        F.sum("n").alias("records"),
+        F.count_if((F.col("size") > most) & (F.col("n") > 1)).alias("too_big"),
+    )
 
 
 @query("""

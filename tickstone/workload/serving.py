@@ -53,6 +53,18 @@ def series_topk(spark, sf):
     return V.series_topk(_returns(spark, sf), 30)
 
 
+@query("""
+SELECT ts AS ts_utc, 'event' AS asset_type, 'all' AS symbol, event_id, "value" FROM events
+ORDER BY ts DESC, event_id LIMIT 5000""")
+def series_topk_deep(spark, sf):
+    """More rows than Spark cuts before an exchange, from one series of all events."""
+    events = B.table(spark, sf, "events").select(
+        F.col("ts").alias("ts_utc"), F.lit("event").alias("asset_type"), F.lit("all").alias("symbol"),
+        "event_id", "value",
+    )
+    return V.series_topk(events, 5000, long_series=6000)
+
+
 @query(f"{QUOTE_RETURNS} SELECT DISTINCT asset_type, symbol FROM r ORDER BY ALL")
 def symbols(spark, sf):
     return V.symbols(_returns(spark, sf))
@@ -87,15 +99,20 @@ def run_manifest(spark, sf):
 
 
 @query("""
-SELECT 'crypto_market_chart-' || strftime(ts, '%Y%m%d') AS run_id,
-       'coingecko_market_chart' AS source, 'crypto_market_chart' AS dataset,
-       strftime(ts, '%Y-%m-%d') AS ingest_ts, strftime(ts, '%Y-%m-%d') AS "date",
-       CAST(3 * count(*) AS BIGINT) AS record_count, 'success' AS status
-FROM events GROUP BY ALL""")
+WITH m AS (
+  SELECT strftime(ts, '%Y%m%d') AS run, strftime(ts, '%Y-%m-%d') AS "date",
+         strftime(min(ts), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingest_ts, count(*) AS n,
+         list_sort(list(DISTINCT CAST(user_id AS VARCHAR))) AS coins
+  FROM events GROUP BY ALL)
+SELECT 'crypto_market_chart-' || run AS run_id, 'coingecko_market_chart' AS source,
+       'crypto_market_chart' AS dataset, ingest_ts, "date",
+       '{"coin":' || CASE WHEN len(coins) = 1 THEN '"' || coins[1] || '"'
+         ELSE '["' || array_to_string(coins, '","') || '"]' END || ',"vs_currency":"usd"}' AS request_params,
+       CAST(3 * n AS BIGINT) AS record_count, 'success' AS status FROM m""")
 def history_manifest(spark, sf):
-    """Runs that count the points their responses carry."""
-    records = B.history_responses(spark, sf).withColumn("ingest_ts", F.col("date"))
-    return L.run_manifest(records, size=L.history_points())
+    """Runs that count the points their responses carry, and say what was asked for."""
+    records = B.history_responses(spark, sf)
+    return L.run_manifest(records, size=L.history_points(), params=L.request_params(records))
 
 
 @query(f"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import number
+from ..functions.scratch import materialise
 from ..operators import payloads
 from ..operators.latest import dedupe_latest
 from . import bindings as B
@@ -65,6 +67,144 @@ def parse_candles(spark, sf):
     return _epoch(payloads.candles(B.candle_responses(spark, sf)))
 
 
+# --- time and number text in every form ------------------------------------
+
+# A form of time text per event: its pattern, and what it means in SQL (null: refused).
+_TIMES = [
+    ("yyyy", "date_trunc('year', ts)"),
+    ("yyyy-MM", "date_trunc('month', ts)"),
+    ("yyyy-MM-dd", "date_trunc('day', ts)"),
+    ("' 'yyyy-MM-dd' '", "date_trunc('day', ts)"),
+    ("yyyy-MM-dd HH", "date_trunc('hour', ts)"),
+    ("yyyy-MM-dd'T'HH", "date_trunc('hour', ts)"),
+    ("yyyy-MM-dd HH:mm", "date_trunc('minute', ts)"),
+    ("yyyy-MM-dd'T'HH:mm:ss", "date_trunc('second', ts)"),
+    ("yyyy-M-d H:m:s", "date_trunc('second', ts)"),
+    ("yyyy-MM-dd HH:mm:ss.SSSSSS", "ts"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "ts"),
+    ("yyyy-MM-dd'T'HH:mm:ss'+02:00'", "date_trunc('second', ts) - INTERVAL 2 HOUR"),
+    ("yyyy-MM-dd'T'HH:mm'-05:30'", "date_trunc('minute', ts) + INTERVAL 330 MINUTE"),
+    ("yyyy-MM-dd HH:mm:ss' Asia/Tokyo'", "date_trunc('second', ts) - INTERVAL 9 HOUR"),
+    ("yyyy-MM-dd HH:mm:ss'UTC+03:00'", "date_trunc('second', ts) - INTERVAL 3 HOUR"),
+    ("yyyy-MM-dd'T'", "NULL"),
+    ("HH:mm:ss", "NULL"),
+    ("HH:mm'Z'", "NULL"),
+    ("yyyy-'13'-dd", "NULL"),
+    ("'soon 'yyyy-MM-dd", "NULL"),
+    ("yyyy-MM-dd HH:mm:ss'N'", "NULL"),
+]
+# Likewise number text: a prefix and a suffix of the value, or a text of its own.
+_NUMBERS = [
+    ("", "", True), (" ", "\t", True), ("", "e2", True), ("-", "", True), ("+", "", True),
+    ("", "abc", False), ("", "d", False), ("", " 1", False), ("0x", "", False),
+]
+_OTHER_NUMBERS = [("", None), ("NaN", None), ("Infinity", None), ("1e400", None), (".5", 0.5), ("1e308", 1e308)]
+
+
+def _one_bar_per_event(spark, sf, datetime, number_text):
+    """Candle responses of one bar, the event's id as symbol."""
+    bar = F.struct(
+        datetime.alias("datetime"), *(number_text.alias(c) for c in ("open", "high", "low", "close")),
+        F.lit(None).cast("string").alias("volume"),
+    )
+    meta = F.struct(F.col("event_id").cast("string").alias("symbol"), F.lit("USD").alias("currency"))
+    data = F.to_json(F.struct(F.lit("ok").alias("status"), meta.alias("meta"), F.array(bar).alias("values")))
+    events = B.table(spark, sf, "events")
+    return payloads.candles(B.responses(events, S.SOURCE_CANDLES, "time_series", data))
+
+
+def _choice(forms, kind):
+    """The form whose place is the event's id modulo their number."""
+    place, chosen = F.col("event_id") % len(forms), F.lit(None).cast(kind)
+    for k, form in enumerate(forms):
+        chosen = F.when(place == k, form).otherwise(chosen)
+    return chosen
+
+
+@query(f"""
+  SELECT event_id, epoch_us(moment) AS ts_us, strftime(moment, '%Y-%m-%d') AS "date" FROM (
+    SELECT event_id, CASE event_id % {len(_TIMES)}
+      {" ".join(f"WHEN {k} THEN {sql}" for k, (_, sql) in enumerate(_TIMES))} END AS moment FROM events)
+  WHERE moment IS NOT NULL""")
+def parse_edge_times(spark, sf):
+    """Time text from a bare year to a named zone, and text that is no time."""
+    text = _choice([F.date_format("ts", pattern) for pattern, _ in _TIMES], "string")
+    rows = _one_bar_per_event(spark, sf, text, F.lit("1"))
+    return _epoch(rows).select(F.col("symbol").cast("bigint").alias("event_id"), "ts_us", "date")
+
+
+@query(f"""
+  SELECT event_id, CASE event_id % {len(_NUMBERS) + len(_OTHER_NUMBERS)}
+    {" ".join(
+        f"WHEN {k} THEN CAST('{a.strip().strip('+')}' || abs(value) || '{b.strip()}' AS DOUBLE)"
+        for k, (a, b, good) in enumerate(_NUMBERS) if good)}
+    {" ".join(
+        f"WHEN {k + len(_NUMBERS)} THEN CAST({v} AS DOUBLE)"
+        for k, (_, v) in enumerate(_OTHER_NUMBERS) if v is not None)}
+    END AS "open" FROM events""")
+def parse_edge_numbers(spark, sf):
+    """Number text in the forms that count, and in those that do not."""
+    value = F.abs("value").cast("string")
+    forms = [F.concat(F.lit(a), value, F.lit(b)) for a, b, _ in _NUMBERS]
+    forms += [F.lit(text) for text, _ in _OTHER_NUMBERS]
+    rows = _one_bar_per_event(spark, sf, F.lit("2024-01-05"), _choice(forms, "string"))
+    return rows.select(F.col("symbol").cast("bigint").alias("event_id"), "open")
+
+
+# --- what does not become a row ---------------------------------------------
+
+
+def _all_items(spark, sf):
+    """The parsed items of all four sources, stored once."""
+    candles = B.candle_responses(spark, sf).drop("input_file")
+    return materialise(payloads.parsed(_bronze(spark, sf).unionByName(candles)))
+
+
+@query("""
+  SELECT 'coingecko' AS source, 'crypto_simple_price-' || strftime(ts, '%Y%m%d') AS run_id,
+         epoch_us(ts) AS ingest_us, 2 AS place, 'price' AS reason,
+         '{"asset":"' || user_id || '","currency":"bad","price":"n/a"}' AS item FROM events
+  UNION ALL
+  SELECT 'coingecko_market_chart', 'crypto_market_chart-' || strftime(ts, '%Y%m%d'), epoch_us(ts), 2,
+         'price', '["' || epoch_us(ts) // 1000 || '"]' FROM events
+  UNION ALL
+  SELECT 'frankfurter', 'forex_latest-' || strftime(ts, '%Y%m%d'), epoch_us(ts), 2, 'price',
+         '{"base":"EUR","date":"' || strftime(ts, '%Y-%m-%d') || '","currency":"XXX","rate":"-"}'
+  FROM events
+  UNION ALL
+  SELECT 'twelvedata', 'time_series-' || strftime(l_shipdate, '%Y%m%d'), epoch_us(l_shipdate),
+         CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END,
+         CASE WHEN l_returnflag = 'R' THEN 'status' ELSE 'time' END,
+         CASE WHEN l_returnflag <> 'R' THEN
+           '{"datetime":"soon","open":"1","high":"1","low":"1","close":"1","volume":"1"}' END
+  FROM lineitem""")
+def parse_rejects(spark, sf):
+    """Everything of four sources that did not become a row, with reason and place."""
+    refused = payloads.refusals(_all_items(spark, sf))
+    return refused.select(
+        "source", "run_id", F.unix_micros("ingest_ts").alias("ingest_us"), "place", "reason",
+        F.when(F.col("reason") != payloads.NOT_OK, F.col("item")).alias("item"),
+    )
+
+
+@query("""
+  SELECT source, 3 * count(*) AS items, 2 * count(*) AS n_rows, count(*) AS refused
+  FROM events, (VALUES ('coingecko'), ('coingecko_market_chart'), ('frankfurter')) s(source)
+  GROUP BY source
+  UNION ALL
+  SELECT 'twelvedata', count(*) + count(*) FILTER (WHERE l_returnflag <> 'R'),
+         count(*) FILTER (WHERE l_returnflag <> 'R'), count(*) FROM lineitem""")
+def parse_accounts(spark, sf):
+    """Items read, rows made and items refused of one stored parse: the first is the sum."""
+    items = _all_items(spark, sf)
+    made = payloads.price_rows(items).select("source").unionByName(
+        payloads.candle_rows(items).select("source")
+    ).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    refused = payloads.refusals(items).groupBy("source").agg(F.count(F.lit(1)).alias("refused"))
+    read = items.groupBy("source").agg(F.count(F.lit(1)).alias("items"))
+    return read.join(made, "source").join(refused, "source")
+
+
 @query("""
   SELECT event_id, 'k' AS "key", CAST(json_extract_string(props, '$.k') AS DOUBLE) AS amount
   FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
