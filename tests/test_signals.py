@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from test_returns import START, bars, series
 
+from tickstone.functions import l1
 from tickstone.functions.l1 import solve_l1
 from tickstone.operators import returns as R
 from tickstone.operators import serving as V
@@ -151,3 +152,19 @@ def test_solver_meets_the_optimality_conditions():
         scale = np.abs(cov).max(1, keepdims=True) + alpha
         assert (np.abs(slope) - alpha <= 1e-7 * scale).all()
         assert (np.abs(slope - alpha * np.sign(w))[w != 0] <= (1e-7 * scale * (w != 0))[w != 0]).all()
+
+
+def test_a_solve_that_ran_out_of_steps_shows(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 6)) @ rng.normal(size=(6, 6)) + 5 * rng.normal(size=(400, 1))
+    x[:, 5] = x[:, 4] + 1e-3 * rng.normal(size=400)
+    y = x @ rng.normal(size=6) + rng.normal(size=400)
+    x, y = x - x.mean(0), y - y.mean()
+    gram, cov = (x.T @ x / 400)[None], (x.T @ y / 400)[None]
+    assert l1.subgradient_gap(gram, cov, l1.solve_l1(gram, cov, 0.01), 0.01)[0] < 1e-8
+    zeros = np.zeros_like(cov)
+    expected = (np.abs(cov).max() - 0.01) / (np.abs(cov).max() + 0.01)
+    assert l1.subgradient_gap(gram, cov, zeros, 0.01)[0] == pytest.approx(expected)
+    monkeypatch.setattr(l1, "_active_set", lambda g, c, penalty, w: w)
+    monkeypatch.setattr(l1, "_SWEEPS", 1)
+    assert l1.subgradient_gap(gram, cov, l1.solve_l1(gram, cov, 0.01), 0.01)[0] > 1e-4

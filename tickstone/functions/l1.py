@@ -41,6 +41,19 @@ def solve_l1(gram: np.ndarray, cov: np.ndarray, alpha: float) -> np.ndarray:
     return w / sd
 
 
+def subgradient_gap(gram: np.ndarray, cov: np.ndarray, w: np.ndarray, alpha: float) -> np.ndarray:
+    """How far each problem's ``w`` is from meeting the conditions of the optimum, next to
+    the largest covariance plus the penalty; zero at the optimum.
+
+    It is taken from the problem as posed and not from the solver's own scaled one, so it
+    tells whether a solve that ran out of steps can be relied on.
+    """
+    slope = cov - np.einsum("bij,bj->bi", gram, w)
+    off = np.maximum(np.abs(slope) - alpha, 0.0)
+    miss = np.where(w != 0, np.abs(slope - alpha * np.sign(w)), off)
+    return miss.max(axis=1) / (np.abs(cov).max(axis=1) + alpha)
+
+
 def _optimal(g, c, penalty, w):
     """Whether the subgradient conditions hold, per problem."""
     slope = c - np.einsum("bij,bj->bi", g, w)
@@ -107,6 +120,7 @@ def batch_fitter(keys: Sequence[str], alpha: float):
             move = np.einsum("bk,bk->b", newest[:, :p] - mean[:, :p], w)
             out["prediction_return"] = mean[:, p] + move
             out["coefficients"] = list(w)
+            out["gap"] = subgradient_gap(cov[:, :p, :p], cov[:, :p, p], w, alpha)
             yield out
 
     return fit

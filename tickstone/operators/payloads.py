@@ -275,3 +275,8 @@ def rejects(bronze: DataFrame) -> DataFrame:
 def source_counts(bronze: DataFrame) -> DataFrame:
     """Records per source."""
     return bronze.groupBy("source").agg(F.count(F.lit(1)).alias("records"))
+
+
+def candle_totals(rows: DataFrame) -> DataFrame:
+    """How many candles there are, and of how many symbols."""
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("symbol").alias("symbols"))

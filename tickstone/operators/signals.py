@@ -212,14 +212,16 @@ def l1_fit(
     """One L1 regression per series with its value for the newest row.
 
     Minimises ``|y - Xw - b|^2 / 2n + alpha*|w|_1`` with intercept and without
-    scaling.  Only the per-series moments reach Python.
+    scaling.  Only the per-series moments reach Python.  ``gap`` says how far the fit is
+    from meeting the conditions of the optimum, relative to the series' covariances: about
+    1e-9 and less where the solver ended by itself.
     """
     keys = list(keys or S.series_keys(feature_rows))
     stats = moments(feature_rows, keys).filter(F.col("samples") >= min_samples)
     kinds = {f.name: f.dataType.simpleString() for f in stats.schema.fields}
     out = [*keys, "last_ts", "last_close", "samples"]
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in out)
-    schema += ", prediction_return double, coefficients array<double>"
+    schema += ", prediction_return double, coefficients array<double>, gap double"
     # The rows are few bytes and much work: spread them by count, not by size.
     spark = stats.sparkSession
     tasks = max(

@@ -199,6 +199,97 @@ def l1_forecast(spark, sf):
     return G.predictions(G.features_from_bars(quote_bars(spark, sf), horizon=1))
 
 
+# --- the optimum, checked ----------------------------------------------------
+
+
+def _fitted_sql(features: str, least: int = 20) -> str:
+    return f"""{features},
+m AS (SELECT {B.SERIES}, CAST(count(target) AS INTEGER) AS samples, max(ts_utc) AS last_ts,
+             arg_max("close", ts_utc) AS last_close
+      FROM f GROUP BY ALL HAVING count(target) >= {least})
+SELECT *, true AS optimal FROM m"""
+
+
+def _certified(feature_rows):
+    """Every fit meets the conditions of the optimum to seven digits."""
+    fits = G.l1_fit(feature_rows)
+    shown = ("asset_type", "symbol", "interval", "currency", "samples", "last_ts", "last_close")
+    return fits.select(*shown, (F.col("gap") <= 1e-7).alias("optimal"))
+
+
+@query(f"{QUOTE_RETURNS}, {_fitted_sql(_features_sql())}")
+def l1_optimum(spark, sf):
+    return _certified(G.features_from_bars(quote_bars(spark, sf)))
+
+
+@query(f"{CANDLE_RETURNS}, {_fitted_sql(_features_sql())}")
+def l1_optimum_candles(spark, sf):
+    return _certified(G.features_from_bars(daily_bars(spark, sf), long_series=None))
+
+
+@query(f"{QUOTE_RETURNS}, {_fitted_sql(_features_sql(1))}")
+def l1_optimum_forecast(spark, sf):
+    return _certified(G.features_from_bars(quote_bars(spark, sf), horizon=1))
+
+
+# With at most two coefficients the optimum has a closed form: for each choice of them
+# and of their signs two linear equations, kept if the signs come out and no other
+# feature's slope is beyond the penalty.
+SPARSE_ALPHA = 20.0
+_NAMES = list(G.FEATURES)
+_SUMS = ", ".join(
+    [f"avg({a}) AS m_{i}" for i, a in enumerate(_NAMES)]
+    + [f"arg_max({a}, ts_utc) AS n_{i}" for i, a in enumerate(_NAMES)]
+    + [f"covar_pop({a}, target) AS c_{i}" for i, a in enumerate(_NAMES)]
+)
+_GRAM = ", ".join(
+    "[" + ", ".join(f"covar_pop({_NAMES[min(i, j)]}, {_NAMES[max(i, j)]})" for j in range(len(_NAMES))) + "]"
+    for i in range(len(_NAMES))
+)
+
+
+def _each(letter: str) -> str:
+    return "[" + ", ".join(f"{letter}_{i}" for i in range(len(_NAMES))) + "]"
+
+
+_SPARSE = f"""{QUOTE_RETURNS}, {_features_sql()},
+sums AS (SELECT {B.SERIES}, CAST(count(*) AS INTEGER) AS samples, avg(target) AS y, {_SUMS}, [{_GRAM}] AS g
+         FROM f GROUP BY {B.SERIES} HAVING count(*) >= 20),
+problem AS (SELECT {B.SERIES}, samples, y, {_each('m')} AS m, {_each('n')} AS n, {_each('c')} AS c, g FROM sums),
+signs AS (SELECT unnest([-1, 1]) AS s),
+none AS (SELECT problem.*, 0 AS used, 1 AS i, 1 AS j, 0.0 AS wi, 0.0 AS wj FROM problem),
+two AS (SELECT problem.*, 2 AS used, i, j,
+          (g[j][j] * (c[i] - {SPARSE_ALPHA} * a.s) - g[i][j] * (c[j] - {SPARSE_ALPHA} * b.s))
+            / (g[i][i] * g[j][j] - g[i][j] * g[i][j]) AS wi,
+          (g[i][i] * (c[j] - {SPARSE_ALPHA} * b.s) - g[i][j] * (c[i] - {SPARSE_ALPHA} * a.s))
+            / (g[i][i] * g[j][j] - g[i][j] * g[i][j]) AS wj, a.s AS si, b.s AS sj
+        FROM problem, range(1, 13) r(i), range(1, 13) q(j), signs a, signs b
+        WHERE i < j AND g[i][i] * g[j][j] - g[i][j] * g[i][j] > 1e-9 * g[i][i] * g[j][j]),
+tried AS (
+  SELECT * FROM none
+  UNION ALL SELECT * FROM (SELECT problem.*, 1 AS used, i, i AS j, (c[i] - {SPARSE_ALPHA} * s.s) / g[i][i] AS wi,
+    0.0 AS wj FROM problem, range(1, 13) r(i), signs s WHERE g[i][i] > 0
+      AND sign((c[i] - {SPARSE_ALPHA} * s.s) / g[i][i]) = s.s)
+  UNION ALL SELECT * EXCLUDE (si, sj) FROM two WHERE sign(wi) = si AND sign(wj) = sj),
+best AS (
+  SELECT * FROM tried
+  WHERE len(list_filter(range(1, 13), lambda k:
+    (used = 0 OR (k <> i AND (used = 1 OR k <> j)))
+    AND abs(c[k] - g[k][i] * wi - g[k][j] * wj) > {SPARSE_ALPHA})) = 0)
+SELECT {B.SERIES}, samples, used, round(y + (n[i] - m[i]) * wi + (n[j] - m[j]) * wj, 4) AS prediction_return
+FROM best"""
+
+
+@query(_SPARSE)
+def l1_predict_sparse(spark, sf):
+    """The fits that have at most two coefficients, with their predictions."""
+    fits = G.l1_fit(G.features_from_bars(quote_bars(spark, sf)), SPARSE_ALPHA)
+    used = F.size(F.filter("coefficients", lambda w: w != 0))
+    return B.rounded(fits.filter(used <= 2).select(
+        "asset_type", "symbol", "interval", "currency", "samples", used.alias("used"), "prediction_return",
+    ), 4, "prediction_return")
+
+
 @query(f"{_MEAN_MODEL} SELECT * FROM o WHERE asset_type = 'event' AND symbol = '7'")
 def predictions_lookup(spark, sf):
     return V.predictions_lookup(_mean_model(spark, sf), "event", "7")

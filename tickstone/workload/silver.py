@@ -242,10 +242,7 @@ def source_counts(spark, sf):
                              ELSE 'BRK B' END) AS symbols
   FROM lineitem WHERE l_returnflag <> 'R'""")
 def candle_totals(spark, sf):
-    parsed = payloads.candles(B.candle_responses(spark, sf))
-    return parsed.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("symbol").alias("symbols")
-    )
+    return payloads.candle_totals(payloads.candles(B.candle_responses(spark, sf)))
 
 
 @query("""
