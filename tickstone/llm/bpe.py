@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, text_chunks
+from .common import beside, carried, released, row_schema, text_chunks, unpacked
 
 #: Pieces remembered per generation in one worker.
 REMEMBERED = 150_000
@@ -242,27 +242,24 @@ def _per_text(docs, text: str, vocabulary: Vocabulary, keep, fields: list, make)
     """The kept columns, and those made from each text's ids and decoded tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     names = [f.name for f in fields]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    rows = docs.select(*kept, F.col(text).alias("_text"))
-    schema = ", ".join(
-        [f"`{n}` {t}" for n, t in docs.select(*kept).dtypes] + [f"`{f.name}` {f.type_name}" for f in fields]
-    )
+    kept = carried(docs, names, keep)
+    rows = beside(docs, kept, text=F.col(text))
+    schema = row_schema(rows, ", ".join(f"{f.name} {f.type_name}" for f in fields))
 
     def work(batches):
         encoder = Encoder(shared.value)
         gc.disable()  # a million small strings and no cycles: walking them is waste
         try:
-            for batch, texts in text_chunks(batches, "_text", _CHUNK):
+            for batch, texts in text_chunks(batches, "text", _CHUNK):
                 made = list(zip(*(make(i, d) for i, d in encoder.encode(texts)), strict=True))
-                columns = [batch.column(k) for k in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(
-                    columns + [pa.array(m, f.arrow) for m, f in zip(made, fields, strict=True)],
-                    [*kept, *names],
+                    [batch.column(0), *(pa.array(m, f.arrow) for m, f in zip(made, fields, strict=True))],
+                    ["row", *names],
                 )
         finally:
             gc.enable()
 
-    return rows.mapInArrow(released(work), schema)
+    return unpacked(rows.mapInArrow(released(work), schema), kept, *names)
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes a Python worker takes in hand at once; one longer text goes alone.
 CHUNK_BYTES = 4 << 20
@@ -61,6 +62,30 @@ def salted_lookup(
     return joined.drop("_salt", "_on_salt", *(f"_on_{c}" for c in on))
 
 
+def carried(docs: DataFrame, made: Sequence[str], keep: Sequence[str] | None = None) -> list[str]:
+    """The columns (all, or those named) that stay when the ``made`` ones are added; a
+    column that goes by the name of one of these, in whatever case, is replaced by it."""
+    taken = {m.lower() for m in made}
+    return [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
+
+
+def beside(docs: DataFrame, kept: Sequence[str], **more: Column) -> DataFrame:
+    """``row``, a struct of the kept columns, and what an operator needs beside them, so
+    that no name of its own can meet one of the table's."""
+    fields = [F.col(f"`{c}`").alias(c) for c in kept] or [F.lit(None).cast("int").alias("none")]
+    return docs.select(F.struct(*fields).alias("row"), *(c.alias(n) for n, c in more.items()))
+
+
+def unpacked(rows: DataFrame, kept: Sequence[str], *more: str) -> DataFrame:
+    """The kept columns out of ``row``, and others after them."""
+    return rows.select(*(F.col("row")[c].alias(c) for c in kept), *more)
+
+
+def row_schema(rows: DataFrame, more: str) -> T.StructType:
+    """The type of ``row``, and further fields in DDL."""
+    return T.StructType([rows.schema["row"], *T.StructType.fromDDL(more).fields])
+
+
 def released(work):
     """``work`` over Arrow batches, giving memory back to the system at its end, since
     the worker process lives on for tasks of other kinds."""

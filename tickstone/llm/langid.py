@@ -1,9 +1,9 @@
 """Language identification with character language models.
 
 One interpolated Kneser-Ney model per language over letters and the gaps between
-them.  All models share one sorted array of n-gram hashes per order (four symbols
-of 16 bits each, so the hash of an n-gram of the basic plane is the n-gram
-itself); beside each hash stand the finished log-probabilities in every language.
+them.  The models of up to ``BLOCK`` languages share one sorted array of n-gram hashes
+per order (four symbols of 16 bits each, so the hash of an n-gram of the basic plane is
+the n-gram itself); beside each hash stand the finished log-probabilities in each of them.
 The language of lowest cross-entropy per symbol wins.  Each language's own spread
 of cross-entropy sets how much worse a text may be before it is rejected.
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import released, text_chunks
+from .common import beside, carried, released, row_schema, text_chunks, unpacked
 
 ORDER = 4
 #: Different labelled texts of each language to learn from, on average at most.
@@ -36,6 +36,10 @@ REJECT_MARGIN = 0.5
 #: Symbols after which a text's evidence no longer makes the score surer.
 SURE_AFTER = 40
 UNKNOWN = "und"
+#: Languages whose tables stand side by side.
+BLOCK = 32
+#: Languages up to which their shares of the sample are broadcast, and beyond which joined.
+FEW_LANGS = 100_000
 
 _CHUNK = 1 << 20  # text bytes in hand: each takes some hundred bytes of arrays
 _GAP = 0x20
@@ -102,8 +106,8 @@ def grams(row: np.ndarray, start: np.ndarray, order: int) -> tuple[np.ndarray, n
 
 
 @dataclass(frozen=True)
-class Models:
-    """Sorted hashes and log-probabilities of all languages, by order from 1."""
+class Block:
+    """Sorted hashes and log-probabilities of some languages, by order from 1."""
 
     langs: list[str]
     keys: list[np.ndarray]
@@ -111,10 +115,21 @@ class Models:
     contexts: list[np.ndarray]  # sorted contexts of each order
     back: list[np.ndarray]  # log of the weight left for the shorter context
     floor: np.ndarray  # of a symbol no language has
+
+
+@dataclass(frozen=True)
+class Models:
+    """All languages, in blocks that store only n-grams of their own."""
+
+    blocks: list[Block]
     mean: np.ndarray  # of cross-entropy, by language
     spread: np.ndarray  # between texts
     noise: np.ndarray  # of one symbol
 
+    @property
+    def langs(self) -> list[str]:
+        return [name for b in self.blocks for name in b.langs]
+
 
 def _find(keys: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
@@ -123,7 +138,7 @@ def _find(keys: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == code
 
 
-def log_probabilities(m: Models, code: np.ndarray, order: int = ORDER) -> np.ndarray:
+def log_probabilities(m: Block, code: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Of each n-gram's last symbol after the others, in every language."""
     if order == 0:
         return np.broadcast_to(m.floor, (len(code), len(m.langs)))
@@ -148,7 +163,23 @@ def _low(n: int) -> np.uint64:
 
 
 def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
-    """Models from each language's sorted n-grams of the highest order and their counts."""
+    """Models from each language's sorted n-grams of the highest order and their counts.
+
+    A block holds ``BLOCK`` languages, so memory grows with the n-grams of the languages
+    and not with the product of all n-grams and all languages.
+    """
+    langs = sorted(counts)
+    size = len(np.unique(np.concatenate([np.unique(c & _low(1)) for c, _ in counts.values()])))
+    blocks = [
+        _trained({name: counts[name] for name in langs[k:k + BLOCK]}, max(size, 1))
+        for k in range(0, len(langs), BLOCK)
+    ]
+    none = np.zeros(len(langs))
+    return Models(blocks, none, none, none)
+
+
+def _trained(counts: dict[str, tuple[np.ndarray, np.ndarray]], size: int) -> Block:
+    """One block; ``size`` is the number of different symbols of all languages."""
     langs = sorted(counts)
     tables = []  # by order: (codes, counts by language)
     codes = np.unique(np.concatenate([c for c, _ in counts.values()]))
@@ -165,7 +196,6 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
         tables.append((low, count))
     tables.reverse()
     keys, logp, contexts, back = [], [], [], []
-    size = max(len(tables[0][0]), 1)
     floor = None
     for n, (codes, count) in enumerate(tables, 1):
         once, twice = (count == 1).sum(axis=0), (count == 2).sum(axis=0)
@@ -177,7 +207,7 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
         left = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
         if n == 1:
             lower = np.full(len(langs), 1.0 / (size + 1))
-            floor = np.log(left[0] / (size + 1)) if len(left) else np.log(lower)
+            floor = np.log(lower)  # what is left for it is weighed in where it is used
         else:
             lower = np.exp(logp[-1][np.searchsorted(keys[-1], codes & _low(n - 1))])
         p = np.maximum(count - discount, 0) / np.maximum(total, 1)[where] + left[where] * lower
@@ -185,19 +215,21 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
         logp.append(np.log(p).astype(np.float32))
         contexts.append(ctx)
         back.append(np.log(left))
-    none = np.zeros(len(langs))
-    return Models(langs, keys, logp, contexts, back, floor.astype(np.float32), none, none, none)
+    return Block(langs, keys, logp, contexts, back, floor.astype(np.float32))
 
 
 def entropies(m: Models, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cross-entropy per symbol of each text in each language, its symbols, its letters."""
     row, start, letters = symbols(texts)
     code, of = grams(row, start, ORDER)
-    logs = log_probabilities(m, code)
     n = np.bincount(of, minlength=len(texts))
-    total = np.stack(
-        [np.bincount(of, logs[:, j], minlength=len(texts)) for j in range(len(m.langs))], axis=1
-    )
+    total = np.empty((len(texts), len(m.langs)))
+    at = 0
+    for block in m.blocks:
+        logs = log_probabilities(block, code)
+        for j in range(len(block.langs)):
+            total[:, at + j] = np.bincount(of, logs[:, j], minlength=len(texts))
+        at += len(block.langs)
     return -total / np.maximum(n, 1)[:, None], n, letters
 
 
@@ -205,14 +237,16 @@ def _sampled(labelled: DataFrame, sample_docs: int) -> DataFrame:
     """Different texts of each language, ``sample_docs`` on average of a language that has
     more and else all, with ``_held``: every fifth is held out to calibrate."""
     each = labelled.groupBy("_lang", F.xxhash64("_text").alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = {r["_lang"]: r["n"] for r in each.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0)
-    for name, n in sizes.items():
-        top = int(1_000_000 * min(1.0, sample_docs / n))
-        share = F.when(F.col("_lang") == name, F.lit(top)).otherwise(share)
+    share = F.floor(1_000_000 * F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.col("n")))
+    shares = materialise(
+        each.groupBy(F.col("_lang").alias("_of")).agg(F.count(F.lit(1)).alias("n")).select("_of", share.alias("_share"))
+    )
+    if shares.count() <= FEW_LANGS:  # a name and a number each
+        shares = F.broadcast(shares)
     spot = F.pmod(F.xxhash64("_text"), F.lit(1_000_000))
+    drawn = labelled.join(shares, F.col("_lang") == F.col("_of")).filter(spot < F.col("_share"))
     # Copies are cut to one by each task before they are dealt.
-    drawn = labelled.filter(spot < share).groupBy("_lang", F.xxhash64("_text").alias("_hash")).agg(
+    drawn = drawn.groupBy("_lang", F.xxhash64("_text").alias("_hash")).agg(
         F.first("_text").alias("_text")
     )
     held = F.pmod(F.xxhash64(F.reverse(F.col("_text"))), F.lit(5)) == 0
@@ -266,14 +300,14 @@ def fit(
         return train(counts) if counts else None
 
     without = trained("rest")
-    known = without.langs if without else []
+    known = {name: k for k, name in enumerate(without.langs)} if without else {}
 
     def measure(batches):
         for batch, texts in text_chunks(batches, "_text", _CHUNK):
             h, n, letters = entropies(without, texts)
             names = batch.column(0).to_pylist()
             rows = [
-                (name, float(h[i, known.index(name)]), int(n[i]))
+                (name, float(h[i, known[name]]), int(n[i]))
                 for i, name in enumerate(names) if name in known and letters[i]
             ]
             lang_of, entropy, size = zip(*rows, strict=True) if rows else ((), (), ())
@@ -295,10 +329,7 @@ def fit(
     mean = np.where(np.isfinite(mean), mean, worst)
     spread = np.where(np.isfinite(spread), spread, 1.0)
     noise = np.full(len(mean), 2.0)  # variance of one symbol's log-probability, at most about 2
-    return Models(
-        models.langs, models.keys, models.logp, models.contexts, models.back, models.floor,
-        mean, spread, noise,
-    )
+    return Models(models.blocks, mean, spread, noise)
 
 
 def identify(m: Models | None, texts: Sequence[bytes]) -> list[tuple[str, float, bool]]:
@@ -310,6 +341,7 @@ def identify(m: Models | None, texts: Sequence[bytes]) -> list[tuple[str, float,
     if m is None or not texts:
         return [(UNKNOWN, 0.0, True)] * len(texts)
     h, n, letters = entropies(m, texts)
+    langs = m.langs
     best = np.argmin(h, axis=1)
     lead = (h - h.min(axis=1, keepdims=True)) * np.minimum(n, SURE_AFTER)[:, None]
     score = 1.0 / np.exp(-lead).sum(axis=1)
@@ -319,7 +351,7 @@ def identify(m: Models | None, texts: Sequence[bytes]) -> list[tuple[str, float,
     least = h[np.arange(len(h)), best]
     rejected = least > allowed[np.arange(len(h)), best]
     return [
-        (m.langs[b], float(s), bool(r)) if k else (UNKNOWN, 0.0, True)
+        (langs[b], float(s), bool(r)) if k else (UNKNOWN, 0.0, True)
         for b, s, r, k in zip(best, score, rejected, letters, strict=True)
     ]
 
@@ -329,23 +361,21 @@ def predict(
 ) -> DataFrame:
     """``docs`` (or the columns in ``keep``) with ``lang_pred``, ``score``, ``rejected``.
 
-    Columns of these names are replaced.  One row per row: null, empty and
+    Columns of these names, in any case, are replaced.  One row per row: null, empty and
     letterless texts are ``und``, rejected; without any learned language all are.
     """
     names = ["lang_pred", "score", "rejected"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    kept = carried(docs, names, keep)
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the sample
-    types = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in kept])
-    schema += (", " if kept else "") + "lang_pred string, score double, rejected boolean"
+    rows = beside(docs, kept, text=F.col(text))
 
     def work(batches):
-        for batch, texts in text_chunks(batches, "_text", _CHUNK):
+        for batch, texts in text_chunks(batches, "text", _CHUNK):
             lang, score, rejected = zip(*identify(shared.value, texts), strict=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in range(len(kept))]
-                + [pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
-                [*kept, *names],
+                [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
+                ["row", *names],
             )
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(released(work), schema)
+    schema = row_schema(rows, "lang_pred string, score double, rejected boolean")
+    return unpacked(rows.mapInArrow(released(work), schema), kept, *names)

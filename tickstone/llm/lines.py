@@ -1,10 +1,10 @@
 """Quality rules: basic text counts, and lines that many documents of a host share.
 
 Lines are normalised (A-Z lowered, white space collapsed, digits made 0) and hashed.
-A line is boilerplate of its host when the number of its different documents reaches
-both limits, an absolute one and a share of the host's documents.  Copies of one text
-count as one document, since copies are for the duplicate search to judge.  Removing
-the boilerplate may deplete a document, which is then rejected.
+A line is boilerplate of its host when the number of distinct documents that hold it
+reaches both limits, an absolute one and a share of the host's distinct documents.  A
+document is an id: copies under different ids count each, rows without an id not at all.
+Removing the boilerplate may deplete a document, which is then rejected.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, let, lower_ascii, salted_lookup
 
-#: Different documents of a host that share a line before it counts as boilerplate.
+#: Distinct documents of a host that share a line before it counts as boilerplate.
 MIN_DOCS = 20
 #: And the share of the host's documents.
 MIN_SHARE = 0.001
@@ -120,17 +120,18 @@ def line_rows(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
 
 
 def frequent_lines(
-    lines: DataFrame, docs: DataFrame, host: str, text: str,
+    lines: DataFrame, docs: DataFrame, host: str, doc_id: str,
     min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """``host, line`` of every line above both limits."""
-    # Two steps: copies of a line in one text are reduced first, so that a line in a
+    # Two steps: repeats of a line in one document are reduced first, so that a line in a
     # third of all documents is counted from partial sums and not from its rows.
-    each = lines.groupBy("host", "line", "text_hash").agg(F.count(F.lit(1)).alias("_n"))
+    each = lines.filter("doc_id is not null").select("host", "line", "doc_id").distinct()
     counted = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs")).filter(
         F.col("docs") >= min_docs
     )
-    sizes = docs.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("of"))
+    held = docs.filter(F.col(doc_id).isNotNull()).select(F.col(host).alias("_host"), doc_id).distinct()
+    sizes = held.groupBy("_host").agg(F.count(F.lit(1)).alias("of"))
     return counted.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).filter(
         F.col("docs") >= F.lit(min_share) * F.col("of")
     ).select("host", "line")
@@ -144,11 +145,12 @@ def judge(
 
     ``base_failed``: fewer than 10 words, or more than 20 of 100 words repeat within
     the text.  ``n_removed``: words on boilerplate lines.  A null text has no words
-    and fails; null hosts form one host; repeated rows are judged alike.
+    and fails; null hosts form one host; repeated rows are judged alike.  Rows without an
+    id count for no line, and lose the lines that are boilerplate of their host.
     """
     base = base_counts(docs, doc_id, text, host)
     lines = line_rows(docs, doc_id, text, host)
-    frequent = frequent_lines(lines, docs, host, text, min_docs, min_share).withColumn("hit", F.lit(True))
+    frequent = frequent_lines(lines, docs, host, doc_id, min_docs, min_share).withColumn("hit", F.lit(True))
     # By the row: copies of a text, and of an id read by several tasks, are dealt out too.
     salt = F.xxhash64("doc_id", "place", F.spark_partition_id())
     hits = salted_lookup(lines, frequent, ["host", "line"], salt, 32).filter("hit")

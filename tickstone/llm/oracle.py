@@ -6,22 +6,26 @@ page as (
     translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path
   from pages),
+sited as (
+  select *, nullif(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '') as site from page),
 judged as (
   select doc_id as page_id, max((coalesce(quality = 0, false) or coalesce(toxic = 1, false))::int) as is_bad
   from labels where quality is not null or toxic is not null group by 1),
 cut as (
-  select host, string_split(host, '.') as labels,
-    array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') in
+  select site, string_split(site, '.') as labels,
+    regexp_matches(site, '^[0-9]{1,3}([.][0-9]{1,3}){3}$') or starts_with(site, '[') as address,
+    array_to_string(list_slice(string_split(site, '.'), -2, -1), '.') in
       ('co.uk','org.uk','ac.uk','com.au','net.au','co.nz','co.jp','com.br','co.in','com.cn') as two
-  from (select distinct host from page)),
+  from (select distinct site from sited where site is not null)),
 named as (
-  select host,
-    array_to_string(list_slice(labels, case when two then -2 else -1 end, -1), '.') as suffix,
-    array_to_string(list_slice(labels, case when two then -3 else -2 end, -1), '.') as domain
+  select site, case when address then 'address' else
+      array_to_string(list_slice(labels, case when two then -2 else -1 end, -1), '.') end as suffix,
+    case when address then site else
+      array_to_string(list_slice(labels, case when two then -3 else -2 end, -1), '.') end as domain
   from cut),
 hosts as (
-  select host, suffix, domain, count(*) as n, sum(is_bad) as bad
-  from page join judged using (page_id) join named using (host) group by 1, 2, 3),
+  select site as host, suffix, domain, count(*) as n, sum(is_bad) as bad
+  from sited join judged using (page_id) join named using (site) group by 1, 2, 3),
 overall as (select (sum(bad) + 0.5::double) / (sum(n) + 1) as m from hosts),
 """
 
@@ -75,7 +79,7 @@ ruled as (
       when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
       when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/'
     end as rule
-  from page left join bounds using (host))
+  from sited left join (select host as site, bound from bounds) using (site))
 select page_id, host, path, rule,
   case when rule in ('com/', 'www.example.com/en/') then 'allow'
     when rule is not null then 'block'
@@ -105,13 +109,14 @@ line as (
     translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')),
     '123456789', '000000000') as l
   from (select rid, unnest(ls) as l from cut)),
-hosts as (select host, count(*) as of_ from doc group by 1),
+hosts as (select host, count(distinct doc_id) as of_ from doc group by 1),
 frequent as (
-  select host, l from line join doc using (rid) join hosts h using (host)
-  group by host, l having count(distinct text) >= 20 and count(distinct text) >= 0.001 * any_value(h.of_)),
+  select doc.host, l from line join doc using (rid) join hosts h on h.host is not distinct from doc.host
+  group by doc.host, l
+  having count(distinct doc_id) >= 20 and count(distinct doc_id) >= 0.001 * any_value(h.of_)),
 removed as (
   select rid, sum(len(l) - len(replace(l, ' ', '')) + 1) as gone
-  from line join doc using (rid) where exists (select 1 from frequent f where f.host = doc.host and f.l = line.l) group by 1),
+  from line join doc using (rid) where exists (select 1 from frequent f where f.host is not distinct from doc.host and f.l = line.l) group by 1),
 counted as (
   select doc_id, len(ws)::bigint as n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, text_chunks
+from .common import beside, carried, released, row_schema, text_chunks, unpacked
 
 #: Labelled rows to learn from at most.
 SAMPLE_ROWS = 20_000
@@ -76,13 +76,19 @@ def binned(edges: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, f], "right") for f, e in enumerate(edges)], axis=1)
 
 
+def coarse_bins(edges: list[np.ndarray], b: np.ndarray) -> np.ndarray:
+    """The cells of pair tables that bins belong to, of each feature's own number of bins."""
+    bins = np.array([max(len(e) + 1, PAIR_BINS) for e in edges])
+    return b * PAIR_BINS // bins
+
+
 def margins(m: Model, x: np.ndarray) -> np.ndarray:
     """Log-odds of the rows of features ``x``: vectorised additions of table entries."""
     b = binned(m.edges, x)
     out = np.full(len(x), m.start)
     for f in range(x.shape[1]):
         out += m.single[f, b[:, f]]
-    coarse = b * PAIR_BINS // BINS
+    coarse = coarse_bins(m.edges, b)
     for k, (f, g) in enumerate(m.pairs):
         out += m.double[k, coarse[:, f], coarse[:, g]]
     return out
@@ -171,7 +177,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Model:
             )
             single[f] += step
             margin += step[b[:, f]]
-    coarse = b * PAIR_BINS // BINS
+    coarse = coarse_bins(edges, b)
     size = PAIR_BINS * PAIR_BINS
 
     def grid(f: int, g: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,22 +246,20 @@ def score(
 ) -> DataFrame:
     """``docs`` (or the columns in ``keep``) with ``score`` and ``predicted``.
 
-    Columns of these names are replaced.  One row per row; null and empty texts are
+    Columns of these names, in any case, are replaced.  One row per row; null and empty texts are
     scored like any other, as texts whose features are all zero.
     """
     names = ["score", "predicted"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    kept = carried(docs, names, keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    types = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "score double", "predicted int"])
+    rows = beside(docs, kept, text=F.col(text))
 
     def work(batches):
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "text"):
             p = probability(margins(shared.value, np.array([features(t) for t in texts])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in range(len(kept))]
-                + [pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
-                [*kept, *names],
+                [batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["row", *names]
             )
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(released(work), schema)
+    made = rows.mapInArrow(released(work), row_schema(rows, "score double, predicted int"))
+    return unpacked(made, kept, *names)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import released, text_chunks
+from .common import beside, released, text_chunks, unpacked
 from .components import components
 
 SHINGLE = 3
@@ -225,10 +225,11 @@ def with_fingerprints(
             )
 
     rows = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), _text_hash(text).alias("text_hash"),
-        F.col(text).alias("_text"),
+        F.col(doc_id).alias("doc_id"), _text_hash(text).alias("text_hash"), F.col(text).alias("_text")
+    )
+    return rows.mapInArrow(
+        released(work), f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash bigint, f bigint"
     )
-    return rows.mapInArrow(released(work), "doc_id bigint, text_hash bigint, f bigint")
 
 
 def _text_hash(text: str) -> Column:
@@ -274,27 +275,25 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id.
 
-    All columns stay.  Rows without an id come after all that have one.  Of rows under
+    All columns stay, and ids may be of any type that has an order.  Rows without an id come after all that have one.  Of rows under
     the same id (or without any) the first by the hash of its text stays, a null text
     last; of equal texts under it any one.  Rows that share an id but lie in different
     components each stand for their own.
     """
     # By component, and not by id, which other components may hold as well.
-    place = F.struct(
-        F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-        F.col("text_hash").isNull().alias("no_text"), F.coalesce("text_hash", F.lit(0)).alias("hash"),
-    )
+    def place(row_id: Column, text_hash: Column) -> Column:  # nulls in a struct equal each other
+        return F.struct(
+            row_id.isNull().alias("no_id"), row_id.alias("id"),
+            text_hash.isNull().alias("no_text"), text_hash.alias("hash"),
+        )
+
     rows = with_fingerprints(docs, doc_id, text)
-    prints = materialise(rows.groupBy("f").agg(F.min(place).alias("least")))
-    winners = _rooted(prints, split_above).groupBy("root").agg(F.min("least").alias("w")).select(
-        *(F.col(f"w.{c}").alias(f"_{c}") for c in ("no_id", "id", "no_text", "hash"))
-    )
-    key = ["_no_id", "_id", "_no_text", "_hash"]
-    keyed = docs.withColumns({
-        "_no_id": F.col(doc_id).isNull(), "_id": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)),
-        "_no_text": F.col(text).isNull(), "_hash": F.coalesce(_text_hash(text), F.lit(0)),
-    })
+    prints = materialise(rows.groupBy("f").agg(
+        F.min(place(F.col("doc_id"), F.col("text_hash"))).alias("least")
+    ))
+    winners = _rooted(prints, split_above).groupBy("root").agg(F.min("least").alias("at")).select("at")
+    keyed = beside(docs, docs.columns, at=place(F.col(doc_id), _text_hash(text)))
     # Copies are cut to one by each task, so that a hot one does not load the join.
-    w = Window.partitionBy(*key).orderBy("_hash")
-    first = keyed.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1")
-    return first.join(winners, key, "left_semi").select(*docs.columns)
+    w = Window.partitionBy("at").orderBy(F.col("at")["hash"])
+    first = keyed.withColumn("nth", F.row_number().over(w)).filter("nth = 1")
+    return unpacked(first.join(winners, "at", "left_semi"), docs.columns)

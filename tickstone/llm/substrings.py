@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import released, salted_lookup, text_chunks
+from .common import beside, carried, released, row_schema, salted_lookup, text_chunks
 
 WINDOW = 35
 GRAM = 8
@@ -340,7 +340,7 @@ def remove_repeats(
     another text, goes, wherever it stands; windows are judged on the input.  The words
     left are joined by one blank where anything was removed, and an untouched text
     stays as it is.  Null stays null, with no words.  Repeated rows are copies of each
-    other.  Columns named ``n_words`` or ``n_removed`` are replaced.
+    other.  Columns named ``n_words`` or ``n_removed``, in any case, are replaced.
     """
     found = materialise(
         repeats(docs, doc_id, text, group_size, filter_bits).groupBy("_id", "_hash").agg(
@@ -348,18 +348,20 @@ def remove_repeats(
         )
     )
     names = ["n_words", "n_removed"]
-    kept = [c for c in docs.columns if c not in names]
-    keyed = docs.select(*kept, F.col(doc_id).cast("string").alias("_d"), F.xxhash64(F.col(text)).alias("_h"))
-    same = F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
+    kept = carried(docs, names)
+    others = [c for c in kept if c != text]
+    keyed = beside(
+        docs, others, text=F.col(text), d=F.col(doc_id).cast("string"), h=F.xxhash64(F.col(text))
+    )
+    same = F.col("d").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_hash"))
     joined = keyed.join(found, same, "left").select(
-        *kept, F.col("_spans.lo").alias("_lo"), F.col("_spans.hi").alias("_hi")
+        "row", "text", F.col("_spans.lo").alias("lo"), F.col("_spans.hi").alias("hi")
     )
-    place = kept.index(text)
 
     def work(batches):
-        for batch, texts in text_chunks(batches, text):
-            before = batch.column(place)
-            los, his = batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()
+        for batch, texts in text_chunks(batches, "text"):
+            before = batch.column(1)
+            los, his = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             out, n_words, n_removed = [], [], []
             for i, t in enumerate(texts):
                 words = t.split()
@@ -376,12 +378,13 @@ def remove_repeats(
                 left += words[at:]
                 out.append(b" ".join(left).decode())
                 n_removed.append(len(words) - len(left))
-            columns = [batch.column(k) for k in range(len(kept))]
-            columns[place] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], [*kept, *names]
+                [batch.column(0), pa.array(out, pa.string()), pa.array(n_words, pa.int64()),
+                 pa.array(n_removed, pa.int64())], ["row", "text", *names]
             )
 
-    types = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"{n} bigint" for n in names])
-    return joined.mapInArrow(released(work), schema)
+    schema = row_schema(joined, "text string, n_words bigint, n_removed bigint")
+    made = joined.mapInArrow(released(work), schema)
+    return made.select(
+        *(F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in kept), *names
+    )

@@ -15,10 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialise
 from .common import lower_ascii, salted_lookup
 
-#: Two-label suffixes under which domains are registered; all others have one label.
+#: Two-label suffixes under which domains are registered; all others have one label.  A
+#: table of public suffixes can be given instead.
 SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.nz", "co.jp", "com.br", "co.in", "com.cn")
+#: The suffix of hosts that are addresses.
+ADDRESS = "address"
 #: Bad rate that a host's lower bound must exceed to be blocked.
 LIMIT = 0.5
 #: Standard deviations from the posterior mean to its bound.
@@ -57,6 +61,53 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return out
 
 
+def site_of(host: Column) -> Column:
+    """The host whose reputation counts: without user and port; null when empty."""
+    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+    return F.when(bare != "", bare)
+
+
+def is_address(site: Column) -> Column:
+    """Whether a site is an address and not a name: four numbers, or in brackets."""
+    return site.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") | site.startswith("[")
+
+
+def with_domains(sites: DataFrame, suffixes: Sequence[str] | DataFrame = SUFFIXES) -> DataFrame:
+    """``sites`` (one row per ``host``) with ``suffix`` and ``domain``.
+
+    ``suffixes`` are two-label ones, or a DataFrame whose first column lists public
+    suffixes of any number of labels; the longest a site ends with is its own, else the
+    last label.  Addresses share the suffix ``ADDRESS``, and each is its own domain.
+    """
+    site = F.col("host")
+    if not isinstance(suffixes, DataFrame):
+        suffix, domain = suffix_of(site, suffixes), domain_of(site, suffixes)
+    else:
+        listed = suffixes.select(lower_ascii(F.col(suffixes.columns[0])).alias("tail")).distinct()
+        labels = F.split(site, "\\.")
+
+        def last(k: Column) -> Column:
+            k = F.least(k, F.size(labels))
+            return F.array_join(F.slice(labels, F.size(labels) - k + 1, k), ".")
+
+        tails = F.transform(F.sequence(F.lit(1), F.size(labels)), last)
+        # A tail such as ``com`` is that of very many hosts.
+        tried = salted_lookup(
+            sites.select("host", F.explode(tails).alias("tail")), listed.withColumn("is", F.lit(True)),
+            ["tail"], F.xxhash64("host"),
+        ).filter("is")
+        longest = tried.groupBy("host").agg(
+            F.max(F.size(F.split("tail", "\\."))).alias("long")
+        ).withColumnRenamed("host", "_host")
+        sites = sites.join(longest, F.col("host") == F.col("_host"), "left").drop("_host")
+        n = F.coalesce("long", F.lit(1))
+        suffix, domain = last(n), last(n + 1)
+    return sites.withColumns({
+        "suffix": F.when(is_address(site), ADDRESS).otherwise(suffix),
+        "domain": F.when(is_address(site), site).otherwise(domain),
+    })
+
+
 def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
     """The public suffix: the last two labels if listed, else the last."""
     two = F.substring_index(host, ".", -2)
@@ -90,11 +141,18 @@ def _strength(level: DataFrame) -> float:
     return STRONGEST if rho <= 0 else min(STRONGEST, max(WEAKEST, 1 / rho - 1))
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
-    """``host, n, bad, mean, bound`` from labelled pages with ``host`` and ``is_bad``."""
-    hosts = outcomes.groupBy("host").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_bad").cast("long")).alias("bad")
-    ).withColumns({"suffix": suffix_of(F.col("host")), "domain": domain_of(F.col("host"))})
+def reputations(
+    outcomes: DataFrame, suffixes: Sequence[str] | DataFrame = SUFFIXES
+) -> DataFrame:
+    """``host, n, bad, mean, bound`` from labelled pages with ``host`` and ``is_bad``.
+
+    Pages without a host teach nothing; hosts that differ in user or port are one.
+    """
+    hosts = outcomes.withColumn("host", site_of(F.col("host"))).filter("host is not null").groupBy(
+        "host"
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_bad").cast("long")).alias("bad"))
+    # Stored: a host with its counts is looked at once for each level.
+    hosts = materialise(with_domains(hosts, suffixes))
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (whole["bad"] + 0.5) / (whole["n"] + 1) if whole["n"] else 0.5
 
@@ -120,12 +178,14 @@ def reputations(outcomes: DataFrame) -> DataFrame:
 def filter_urls(
     pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url: str = "url",
     label_id: str = "doc_id", rules: Sequence[tuple[str, str]] = RULES,
+    suffixes: Sequence[str] | DataFrame = SUFFIXES,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, bound``, one row per page.
 
     A page is a bad outcome if a label calls it low quality or toxic.  A rule
-    decides where one fits; else the host's bound does, and a host without labelled
-    pages is allowed, as is a null or malformed url (empty host and path).
+    decides where one fits; else the host's bound does, whatever the user or port it is
+    named with, and a host without labelled pages is allowed, as is a null or malformed
+    url (empty host and path).
     Repeated labels of a page count once, bad if any is.
     """
     cut = pages.select(
@@ -135,8 +195,10 @@ def filter_urls(
     judged = labels.filter("quality is not null or toxic is not null").groupBy(
         F.col(label_id).alias("page_id")
     ).agg(F.max(bad).alias("is_bad"))
-    known = reputations(cut.select("page_id", "host").join(judged, "page_id"))
-    rows = salted_lookup(cut, known.select("host", "bound"), ["host"], F.xxhash64("page_id"))
+    known = reputations(cut.select("page_id", "host").join(judged, "page_id"), suffixes)
+    known = known.select(F.col("host").alias("site"), "bound")
+    sited = cut.withColumn("site", site_of(F.col("host")))
+    rows = salted_lookup(sited, known, ["site"], F.xxhash64("page_id"))
     rule = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") > LIMIT, "block").otherwise("allow")
     return rows.withColumn("_r", rule).select(
