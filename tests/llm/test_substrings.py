@@ -61,6 +61,31 @@ def test_equals_plain_count(spark, group_size, bits):
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in got) == expected
 
 
+def plain_ranges(texts):
+    """Runs of neighbouring windows that repeat, as word ranges of each text."""
+    words = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(w[k : k + 35]) for w in words for k in range(len(w) - 34))
+    out = set()
+    for i, w in enumerate(words):
+        start = None
+        for k in range(len(w) - 33):
+            hit = k < len(w) - 34 and seen[tuple(w[k : k + 35])] > 1
+            if hit and start is None:
+                start = k
+            elif not hit and start is not None:
+                out.add((str(i), start, k + 34))
+                start = None
+    return out
+
+
+@pytest.mark.parametrize(("group_size", "bits"), [(20_000, None), (30, 1 << 16), (1, 64)])
+def test_ranges_do_not_follow_the_group_size(spark, group_size, bits):
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = substrings.repeats(df, group_size=group_size, filter_bits=bits).collect()
+    assert {(r["_id"], r["lo"], r["hi"]) for r in got} == plain_ranges(texts) and len(got) == len(plain_ranges(texts))
+
+
 def test_repeated_rows_and_null_id(spark):
     t = " ".join(f"x{i}" for i in range(40))
     df = spark.createDataFrame([(1, t), (1, t), (None, t + " y"), (2, "short")], "doc_id bigint, text string")

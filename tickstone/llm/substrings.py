@@ -14,13 +14,15 @@ A more frequent anchor has its prefixes lengthened to the whole window: a group
 such a prefix holds equal windows only and its size is all there is to know, which
 Spark counts from partial sums.
 
-*Subtrees.*  Built top-down: a node's suffixes are split by the words of the next
-edge, suffixes alone in their node are dropped, and the nodes left at a depth of 35
-words are the deep internal nodes.  Neighbouring windows under such nodes join into
-maximal repeats, and the words these cover are removed.
-
-The anchors to keep are passed to the tasks as two bit tables of fixed size (repeated,
-and frequent).  A bit set by chance costs work and changes no result.
+*Subtrees.*  Refined top-down, without nodes or edges being stored: suffixes are split
+by the hashes of their first 12, 23 and 35 words, those alone in their part are dropped,
+and the parts left at 35 words are what lies below the deep internal nodes.  On either
+path, neighbouring windows that repeat join into one range of their text, as long as it
+goes, and the words these ranges cover are removed.
+
+The anchors to keep are passed to the tasks as two bit tables (repeated, and frequent),
+with sixteen bits for each repeated anchor up to ``MOST_BITS``.  A bit set by chance costs
+work and changes no result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
@@ -39,8 +41,8 @@ WINDOW = 35
 GRAM = 8
 #: Occurrences of an anchor up to which they form one group.
 GROUP_SIZE = 20_000
-#: Size of each bit table; fixed, so that its broadcast is.
-FILTER_BITS = 1 << 26
+#: Size of each bit table, at least and at the most; it is broadcast.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 30
 _CHUNK = 2 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -191,7 +193,7 @@ def _joined(at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bit(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    place = h & np.uint64(bits - 1)
+    place = h >> np.uint64(1) & np.uint64(bits - 1)  # the lowest bit of an anchor is set
     return (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
 
 
@@ -202,8 +204,8 @@ def _hit(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _tables(counted: DataFrame, bits: int, group_size: int) -> tuple[np.ndarray, np.ndarray]:
     """Bit tables of repeated and of frequent anchors."""
-    place = F.col("anchor").bitwiseAND(F.lit(bits - 1))
-    flag = F.expr(f"shiftleft(1L, cast(anchor & 63 as int))")
+    place = F.shiftrightunsigned("anchor", 1).bitwiseAND(F.lit(bits - 1))
+    flag = F.expr("shiftleft(1L, cast(shiftrightunsigned(anchor, 1) & 63 as int))")
     rows = counted.groupBy(F.shiftright(place, 6).alias("word")).agg(
         F.bit_or(flag).alias("repeated"),
         F.bit_or(F.when(F.col("n") > group_size, flag).otherwise(F.lit(0).cast("bigint"))).alias("frequent"),
@@ -225,11 +227,13 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_size: int = GROUP_SIZE,
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
-    """Maximal repeats: ``_id`` (as text), ``_hash`` of the text, word range ``lo`` to ``hi``.
+    """Repeated ranges: ``_id`` (as text), ``_hash`` of the text, word range ``lo`` to ``hi``.
 
-    Ranges may overlap; together they cover exactly the words of repeated windows.
+    A range is as long as every window of 35 words in it occurs elsewhere too.  Ranges of
+    a text may overlap by less than a window; together they cover exactly the words of
+    repeated windows.  ``group_size`` and ``filter_bits`` change no range.
     """
     spark = docs.sparkSession
     rows = _keyed(docs, doc_id, text).filter(F.col("_text").isNotNull())
@@ -243,6 +247,9 @@ def repeats(
     counted = rows.select("_text").mapInArrow(released(count), "anchor bigint, n bigint").groupBy("anchor").agg(
         F.sum("n").alias("n")
     ).filter("n > 1")
+    counted = materialise(counted)
+    if filter_bits is None:
+        filter_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * counted.count()).bit_length()))
     shared = spark.sparkContext.broadcast(_tables(counted, filter_bits, group_size))
 
     def cut(batches: Iterator[pa.RecordBatch], frequent: bool):
@@ -327,12 +334,29 @@ def repeats(
         salt = F.xxhash64("_id", "lo", F.spark_partition_id())
         known = salted_lookup(long, sizes, ["low", "high"], salt, 32).filter(F.col("n").isNotNull())
         found = found.union(known.select("_id", "_hash", "lo", (F.col("lo") + WINDOW).alias("hi")))
-    return found
+    each = found.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+    return each.select("_id", "_hash", F.inline(_merged("spans")).alias("lo", "hi"))
+
+
+def _merged(spans: str) -> Column:
+    """Sorted ranges of one text, joined where the windows in them are neighbours: where
+    a range starts at most one word after the last window of the one before it.  Each
+    window is in one range, so those that start later also end later."""
+    all_ = F.col(spans)
+
+    def parted(left: Column, right: Column) -> Column:
+        return F.coalesce(right["lo"] > left["hi"] - WINDOW + 1, F.lit(True))
+
+    first = F.filter(all_, lambda x, i: (i == 0) | parted(F.get(all_, i - 1), x))
+    last = F.filter(all_, lambda x, i: parted(x, F.get(all_, i + 1)))
+    return F.arrays_zip(
+        F.transform(first, lambda x: x["lo"]).alias("lo"), F.transform(last, lambda x: x["hi"]).alias("hi")
+    )
 
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_size: int = GROUP_SIZE,
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """``docs`` with repeats taken out of the text, and ``n_words``, ``n_removed``.
 
