@@ -6,7 +6,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
-from tickstone.llm import audit
+from tickstone.llm import audit, common
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id bigint, text string, source string, row_1 int, n string, Fails string"
@@ -85,6 +85,12 @@ def test_against_a_plain_walk(spark):
     assert got == plain(rows, labels)
 
 
+def test_hot_copies_are_looked_up_by_salt(spark, monkeypatch):
+    monkeypatch.setattr(audit, "counted_lookup", lambda *a: common.counted_lookup(*a, hot=5))
+    rows = [(k, "hot copy", "s") for k in range(40)] + [(50 + k // 2, f"pair {k % 2}", "t") for k in range(8)]
+    assert report(spark, rows, []) == plain(rows, [])
+
+
 def test_empty_tables(spark):
     assert report(spark, [], []) == {}
     got = report(spark, [(1, None, None)], [])

@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import pytest
 
-from tickstone.llm import trie
+from tickstone.llm import common, trie
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, id int, Seq string, path int"
@@ -72,7 +72,8 @@ def drawn(seed):
 
 
 @pytest.mark.parametrize(("shards", "rebuild"), [(1, None), (7, None), (40, trie.rebuilt)])
-def test_against_a_plain_trie(spark, shards, rebuild):
+def test_against_a_plain_trie(spark, shards, rebuild, monkeypatch):
+    monkeypatch.setattr(trie, "counted_lookup", lambda *a: common.counted_lookup(*a, hot=20))
     rows = drawn(shards)
     seqs = plain_sequences(rows)
     expected = plain(seqs if rebuild is None else plain_rebuilt(seqs))

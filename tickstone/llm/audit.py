@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import BLANKS, UPPER, let, salted_lookup
+from .common import BLANKS, UPPER, counted_lookup, let, salted_lookup
 
 #: A filter: a condition on the rows that fail, or a function from the identified rows
 #: (``doc, part, text_1, text_2`` and the row's own key) to those that fail.
@@ -63,12 +63,12 @@ def later_copies(rows: DataFrame) -> DataFrame:
     """The rows whose text also stands under a smaller id, wherever in the table.
 
     A null id is not smaller than any other, nor larger.  Only texts held more than
-    once are looked up, salted, so that a hot text meets many tasks.
+    once are looked up, and a hot text meets many tasks.
     """
     first = rows.groupBy("text_1", "text_2").agg(
         F.count(F.lit(1)).alias("_n"), F.min("doc").alias("_first")
-    ).filter("_n > 1").drop("_n")
-    met = salted_lookup(rows, first, ["text_1", "text_2"], F.xxhash64(*ROW))
+    ).filter("_n > 1")
+    met = counted_lookup(rows, first, ["text_1", "text_2"], "_n", F.xxhash64(*ROW))
     return met.filter(F.col("doc") > F.col("_first")).select(*ROW, "doc")
 
 
@@ -88,9 +88,8 @@ def identified(docs: DataFrame, fails: Column, doc_id: str, text: str, part: str
         {ROW[0]: F.xxhash64(*named), ROW[1]: F.xxhash64(F.lit(1), *named)}
     )
     same = ("doc", "part", "text_1", "text_2", "fails")
-    return keyed.groupBy(*ROW).agg(
-        F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in same)
-    )
+    # All of them follow from the row's hashes; as keys they need no sort.
+    return keyed.groupBy(*ROW, *same).agg(F.count(F.lit(1)).alias("n"))
 
 
 def id_tables(rows: DataFrame, names: Sequence[str], more: dict[str, Callable]) -> dict[str, DataFrame]:

@@ -62,6 +62,26 @@ def salted_lookup(
     return joined.drop("_salt", "_on_salt", *(f"_on_{c}" for c in on))
 
 
+#: Rows of a key above which its fact is repeated for salts.
+HOT_ROWS = 10_000
+
+
+def counted_lookup(
+    rows: DataFrame, facts: DataFrame, on: Sequence[str], count: str, salt: Column, hot: int = HOT_ROWS
+) -> DataFrame:
+    """``rows`` inner-joined to ``facts``, which has one row per key without nulls, and in
+    ``count`` the number of rows that hold it.
+
+    Only keys of at least ``hot`` rows are repeated per salt, and these are few, whatever
+    the number of keys; no other key can load a task.
+    """
+    many = facts.filter(F.col(count) >= hot).drop(count).withColumn("_hot", F.lit(True))
+    few = facts.filter(F.col(count) < hot).drop(count)
+    met = salted_lookup(rows, many, on, salt)
+    rest = met.filter("_hot is null").select(*rows.columns).join(few, list(on))
+    return met.filter("_hot").drop("_hot").unionByName(rest)
+
+
 def carried(docs: DataFrame, made: Sequence[str], keep: Sequence[str] | None = None) -> list[str]:
     """The columns (all, or those named) that stay when the ``made`` ones are added; a
     column that goes by the name of one of these, in whatever case, is replaced by it."""

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import BLANKS, released, salted_lookup
+from .common import BLANKS, counted_lookup, released, salted_lookup
 
 #: Turns a shard's tree holds when there are enough shards, and at the most on average.
 SHARD_TURNS, MOST_TURNS = 1 << 14, 1 << 20
@@ -61,11 +61,11 @@ def encoded_turns(turns: DataFrame, conv_id: str, turn: str, role: str, text: st
         words.alias("words"),
     ))
     # Written once, so that a number stays what it is when a task is repeated.
-    numbers = materialise(rows.groupBy("hash_1", "hash_2").agg(F.count(F.lit(1)).alias("_n")).select(
-        "hash_1", "hash_2", F.monotonically_increasing_id().alias("id")
+    numbers = materialise(rows.groupBy("hash_1", "hash_2").agg(F.count(F.lit(1)).alias("n")).select(
+        "hash_1", "hash_2", "n", F.monotonically_increasing_id().alias("id")
     ))
     salt = F.xxhash64("conv_id", "turn", F.spark_partition_id())
-    return salted_lookup(rows, numbers, ["hash_1", "hash_2"], salt).select(
+    return counted_lookup(rows, numbers, ["hash_1", "hash_2"], "n", salt).select(
         "conv_id", "turn", "hash_1", "id", "words"
     )
 
