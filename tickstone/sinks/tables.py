@@ -100,8 +100,14 @@ def in_partitions_of(
 ) -> DataFrame:
     """The rows of a stored table that share a partition with ``touched``."""
     parts = touched.select(*partitions).distinct()
-    for column in partitions:
-        df = _holding(df, column, parts)
+    listed = parts.limit(NAMED_VALUES + 1).collect()
+    if len(listed) <= NAMED_VALUES:  # few: named in filters, and found only once
+        parts = df.sparkSession.createDataFrame(listed, parts.schema)
+        for k, column in enumerate(partitions):
+            df = df.filter(F.col(column).isin(sorted({r[k] for r in listed})))
+    else:
+        for column in partitions:
+            df = _holding(df, column, parts)
     # The values prune folders; the join settles the rest exactly.
     return df.join(parts, list(partitions), "left_semi")
 
