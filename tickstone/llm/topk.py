@@ -255,7 +255,9 @@ def top_k(
         "dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.lit(True).alias("asks"), "vec_id", "code",
     )
-    met = rows.unionByName(queries).repartition(shards, "dim", "shard")
+    # A shard to each task, whatever its number hashes to.
+    task = F.pmod(F.col("shard") + F.pmod(F.xxhash64("dim"), F.lit(shards)), F.lit(shards)).cast("int")
+    met = rows.unionByName(queries).repartitionById(shards, task)
     lists = met.sortWithinPartitions("dim", "shard", "asks").mapInArrow(released(_searched(k)), _LISTS)
     return merge_lists(lists, shards, k).select(
         F.col("query_id"), F.posexplode("best").alias("place", "b")
