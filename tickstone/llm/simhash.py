@@ -291,9 +291,19 @@ def keep_one(
     prints = materialise(rows.groupBy("f").agg(
         F.min(place(F.col("doc_id"), F.col("text_hash"))).alias("least")
     ))
-    winners = _rooted(prints, split_above).groupBy("root").agg(F.min("least").alias("at")).select("at")
-    keyed = beside(docs, docs.columns, at=place(F.col(doc_id), _text_hash(text)))
-    # Copies are cut to one by each task, so that a hot one does not load the join.
-    w = Window.partitionBy("at").orderBy(F.col("at")["hash"])
+
+    def key(row_id: Column, text_hash: Column) -> dict[str, Column]:  # without nulls, of plain types
+        return {
+            "no_id": row_id.isNull(), "id": F.coalesce(row_id.cast("string"), F.lit("")),
+            "no_text": text_hash.isNull(), "hash": F.coalesce(text_hash, F.lit(0)),
+        }
+
+    least = _rooted(prints, split_above).groupBy("root").agg(F.min("least").alias("w"))
+    winners = least.select(*(c.alias(n) for n, c in key(F.col("w.id"), F.col("w.hash")).items()))
+    keyed = beside(docs, docs.columns, **key(F.col(doc_id), _text_hash(text)))
+    # Copies are cut to one by each task, so that a hot one does not load the join, which
+    # finds the rows where the window has put them.
+    by = ["no_id", "id", "no_text", "hash"]
+    w = Window.partitionBy(*by).orderBy("hash")
     first = keyed.withColumn("nth", F.row_number().over(w)).filter("nth = 1")
-    return unpacked(first.join(winners, "at", "left_semi"), docs.columns)
+    return unpacked(first.join(winners, by, "left_semi"), docs.columns)

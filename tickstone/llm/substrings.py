@@ -43,7 +43,7 @@ GRAM = 8
 GROUP_SIZE = 20_000
 #: Size of each bit table, at least and at the most; it is broadcast.
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 30
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -235,6 +235,15 @@ def repeats(
     a text may overlap by less than a window; together they cover exactly the words of
     repeated windows.  ``group_size`` and ``filter_bits`` change no range.
     """
+    return _spans(docs, doc_id, text, group_size, filter_bits).select(
+        "_id", "_hash", F.inline("_spans").alias("lo", "hi")
+    )
+
+
+def _spans(
+    docs: DataFrame, doc_id: str, text: str, group_size: int, filter_bits: int | None
+) -> DataFrame:
+    """``_id``, ``_hash`` and, in order, all ranges of each text that has one."""
     spark = docs.sparkSession
     rows = _keyed(docs, doc_id, text).filter(F.col("_text").isNotNull())
 
@@ -334,8 +343,10 @@ def repeats(
         salt = F.xxhash64("_id", "lo", F.spark_partition_id())
         known = salted_lookup(long, sizes, ["low", "high"], salt, 32).filter(F.col("n").isNotNull())
         found = found.union(known.select("_id", "_hash", "lo", (F.col("lo") + WINDOW).alias("hi")))
-    each = found.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
-    return each.select("_id", "_hash", F.inline(_merged("spans")).alias("lo", "hi"))
+    each = found.groupBy("_id", "_hash").agg(
+        F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans")  # a text's own
+    )
+    return each.select("_id", "_hash", _merged("spans").alias("_spans"))
 
 
 def _merged(spans: str) -> Column:
@@ -366,11 +377,7 @@ def remove_repeats(
     stays as it is.  Null stays null, with no words.  Repeated rows are copies of each
     other.  Columns named ``n_words`` or ``n_removed``, in any case, are replaced.
     """
-    found = materialise(
-        repeats(docs, doc_id, text, group_size, filter_bits).groupBy("_id", "_hash").agg(
-            F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("_spans")  # a text's own
-        )
-    )
+    found = materialise(_spans(docs, doc_id, text, group_size, filter_bits))
     names = ["n_words", "n_removed"]
     kept = carried(docs, names)
     others = [c for c in kept if c != text]
