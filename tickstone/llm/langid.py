@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from .common import beside, carried, released, row_schema, text_chunks, unpacked
+from .common import beside, carried, released, row_schema, text_chunks
 
 ORDER = 4
 #: Different labelled texts of each language to learn from, on average at most.
@@ -367,15 +367,20 @@ def predict(
     names = ["lang_pred", "score", "rejected"]
     kept = carried(docs, names, keep)
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the sample
-    rows = beside(docs, kept, text=F.col(text))
+    # The text goes to the tasks once, also where it is kept.
+    others, whole = [c for c in kept if c != text], text in kept
+    rows = beside(docs, others, text=F.col(text))
 
     def work(batches):
         for batch, texts in text_chunks(batches, "text", _CHUNK):
             lang, score, rejected = zip(*identify(shared.value, texts), strict=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
-                ["row", *names],
+                [*batch.columns[:1 + whole], pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
+                ["row", *["text"] * whole, *names],
             )
 
-    schema = row_schema(rows, "lang_pred string, score double, rejected boolean")
-    return unpacked(rows.mapInArrow(released(work), schema), kept, *names)
+    made = "text string, " * whole + "lang_pred string, score double, rejected boolean"
+    found = rows.mapInArrow(released(work), row_schema(rows, made))
+    return found.select(
+        *(F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in kept), *names
+    )
