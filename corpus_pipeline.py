@@ -18,19 +18,35 @@ from tickstone.llm.common import fold, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that language identification rejects."""
+    """Drop the documents that language identification rejects.
+
+    Null, empty and letterless texts are rejected.  Rows are judged one by one, so repeats
+    and ties stay or go together; other columns, whatever their names, come back unchanged.
+    """
     models = langid.fit(docs, fold("doc_id", 5) != 0)
-    judged = docs.withColumn("_doc", F.struct(*docs.columns)).select("_doc", "text")
-    return langid.predict(judged, models, keep=["_doc"]).filter(~F.col("rejected")).select("_doc.*")
+    others = [c for c in docs.columns if c != "text"]
+    judged = docs.select(F.struct(*others).alias("other"), "text")  # their names meet no made one
+    kept = langid.predict(judged, models).filter(~F.col("rejected"))
+    return kept.select(*("text" if c == "text" else F.col("other")[c].alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
+    """Keep one document of each group of near copies, that of the smallest id.
+
+    Texts without words form one group.  Rows without an id come after all that have one;
+    of rows that share an id the first by the hash of its text stays, a null text last.
+    Near copies are what lies within two bits; that is no word similarity, and near copies
+    that differ more are left.
+    """
     return simhash.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take passages that occur more than once out of the texts."""
+    """Take passages that occur more than once out of the texts.
+
+    All rows stay, those without words too; a text may be left empty.  Rows that repeat are
+    copies of each other and lose all windows.  ``n_chars`` follows where a text changes.
+    """
     left = substrings.remove_repeats(docs)
     changed = F.col("n_removed") > 0
     return left.withColumn(
@@ -39,12 +55,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold benchmark items."""
+    """Drop the documents that hold benchmark items.
+
+    Null and empty texts hold none and stay; each row is judged by itself.
+    """
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the digest of what they decode to."""
+    """Token ids of every document, and the digest of what they decode to.
+
+    One row per row.  A null or empty text has no tokens and decodes to empty text.
+    """
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     coded = bpe.encode_texts(docs, vocabulary, keep=["doc_id", "lang", "source"])
     return coded.select(
@@ -61,7 +83,8 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: Language models and fingerprints are beyond SQL; tests hold the rows against plain code.
+#: Language models and fingerprints are beyond SQL; tests walk through the stages on rows
+#: whose outcome is known (``tests/llm/test_columns.py``).
 ORACLE_SQL = None
 
 
