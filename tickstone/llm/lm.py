@@ -19,8 +19,9 @@ numbers, are dealt by hash into slices of about ``SLICE_TOKENS`` tokens; each sl
 over its texts, in the order of their hashes, from common parameters, and Spark averages
 the results by the number of tokens they saw, for ``ROUNDS`` rounds.  So the parameters
 follow from the texts and not from how the table is partitioned, and more data makes
-more slices and not thinner ones.  Every different training text takes part in each
-round; how often it occurs is in the counts.
+more slices and not thinner ones.  Every training row takes part in each round: texts
+that are alike are stored once with their number, and each copy is dealt by itself, so
+that the copies of one text spread over all slices.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ SLICE_TOKENS = 4_000_000
 _RUN = 300_000  # tokens a trainer takes in hand at once
 _CHUNK = 2 << 20
 _BLOCK = 512  # contexts whose class scores stay in the processor's cache
+_NORMS = 1_000_000  # contexts whose sums a task keeps: 16 bytes each
 _HELD = 1_500_000  # distinct words a task gathers before it hands them on
 _END = 0  # class of the end; own words follow, then spellings
 CLASSES = 1 + OWN + SPELLINGS
@@ -116,16 +118,16 @@ def _find(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == h
 
 
-def sequences(m: Model, t: Tokens, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all tokens of ``n`` texts, each with its end; the classes before each
-    (last first); the text of each."""
-    at, own = _find(m.own, t.hash)
-    word_class = np.where(own, 1 + at, 1 + OWN + t.spelling)
-    text = np.concatenate([t.text, np.arange(n)])
-    order = np.argsort(text, kind="stable")  # a text's end comes after its words
-    classes = np.concatenate([word_class, np.full(n, _END)])[order]
-    text = text[order]
-    return classes, _before(classes, text), text
+def sequences(own: tuple[np.ndarray, np.ndarray], t: Tokens, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all tokens of ``n`` texts, each with its end; the text of each.  ``own``
+    is what :func:`_find` says of the words among those with a class of their own."""
+    at, found = own
+    size = np.bincount(t.text, minlength=n) + 1
+    text = np.repeat(np.arange(n), size)
+    classes = np.full(len(text), _END)
+    # Words stand in the order of their texts, and before each the ends of those before it.
+    classes[np.arange(len(t.text)) + t.text] = np.where(found, 1 + at, 1 + OWN + t.spelling)
+    return classes, text
 
 
 def _before(classes: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -146,28 +148,44 @@ def _predicted(tables: np.ndarray, before: np.ndarray) -> np.ndarray:
     return out
 
 
-def class_log10(m: Model, classes: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Normalised log10-probability of each class after its context."""
+class Norms:
+    """The logarithm of the sum over all classes, after contexts met before."""
+
+    def __init__(self):
+        self.contexts, self.norm = np.zeros(0, dtype=np.int64), np.zeros(0)
+
+    def add(self, contexts: np.ndarray, norm: np.ndarray) -> None:
+        """Further ones, in order; the earlier ones make room when there are too many."""
+        if len(self.contexts) + len(contexts) > _NORMS:
+            self.__init__()
+        at = np.searchsorted(self.contexts, contexts)
+        self.contexts, self.norm = np.insert(self.contexts, at, contexts), np.insert(self.norm, at, norm)
+
+
+def class_log10(m: Model, classes: np.ndarray, before: np.ndarray, met: Norms | None = None) -> np.ndarray:
+    """Normalised log10-probability of each class after its context.  ``met`` carries over
+    what was computed for earlier tokens."""
     # The bias rides in the product: each prediction ends with a one.
     tables = np.zeros((CONTEXT, CLASSES + 1, SIZE + 1), dtype=np.float32)
     tables[:, :, :SIZE] = np.stack([m.vectors @ p for p in m.places])
     tables[0, :, SIZE] = 1
     targets = np.vstack([m.targets.T, m.bias]).astype(np.float32)
     # Many tokens share their context, and with it the scores of all classes.
-    shape = (CLASSES + 1,) * CONTEXT
+    shape, met = (CLASSES + 1,) * CONTEXT, met or Norms()
     kinds, of = np.unique(np.ravel_multi_index(tuple(before), shape), return_inverse=True)
-    contexts = np.stack(np.unravel_index(kinds, shape))
-    predicted = np.empty((len(kinds), SIZE + 1), dtype=np.float32)
-    norm, ones = np.empty(len(kinds)), np.ones(CLASSES, dtype=np.float32)
+    predicted = _predicted(tables, np.stack(np.unravel_index(kinds, shape)))
+    at, found = _find(met.contexts, kinds)
+    norm = met.norm[at] if len(met.norm) else np.empty(len(kinds))
+    fresh, ones = np.flatnonzero(~found), np.ones(CLASSES, dtype=np.float32)
     space = np.empty((_BLOCK, CLASSES), dtype=np.float32)
-    for at in range(0, len(kinds), _BLOCK):
-        part = slice(at, at + _BLOCK)
-        predicted[part] = _predicted(tables, contexts[:, part])
-        score = np.matmul(predicted[part], targets, out=space[: len(predicted[part])])
+    for at in range(0, len(fresh), _BLOCK):
+        part = fresh[at : at + _BLOCK]
+        score = np.matmul(predicted.take(part, axis=0), targets, out=space[: len(part)])
         top = score.max(axis=1, keepdims=True)
         score -= top
         np.exp(score, out=score)
         norm[part] = top[:, 0] + np.log((score @ ones).astype(np.float64))
+    met.add(kinds[fresh], norm[fresh])
     out, wanted = np.empty(len(classes)), np.ascontiguousarray(targets.T)
     for at in range(0, len(classes), 64 * _BLOCK):
         part = slice(at, at + 64 * _BLOCK)
@@ -176,11 +194,13 @@ def class_log10(m: Model, classes: np.ndarray, before: np.ndarray) -> np.ndarray
     return out / np.log(10)
 
 
+_CELLS = np.arange((CLASSES + 1) * SIZE).reshape(-1, SIZE)
+
+
 def _added(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """``values`` summed by row number, ``n`` rows."""
-    width = values.shape[1]
-    at = (rows[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(at, values.ravel(), n * width).reshape(n, width)
+    """``values``, of ``SIZE`` columns, summed by row number, ``n`` rows."""
+    at = _CELLS.take(rows, axis=0).ravel()
+    return np.bincount(at, values.ravel(), n * SIZE).reshape(n, SIZE)
 
 
 class Trainer:
@@ -193,8 +213,10 @@ class Trainer:
         self.log_noise = np.log(NOISE * self.noise).astype(np.float32)
         self.rng = np.random.default_rng(seed)
         self.moved = [np.full(x.shape, 1e-2) for x in self.values()]
+        # The bias rides in the products: each prediction ends with a one.
         self.space = np.empty((BATCH, NOISE), dtype=np.float32)
-        self.table_start = np.arange(CONTEXT)[:, None] * (CLASSES + 1)
+        self.predicted = np.ones((BATCH, SIZE + 1), dtype=np.float32)
+        self.others = np.empty((SIZE + 1, NOISE), dtype=np.float32)
         self.seen = 0
 
     def values(self) -> tuple[np.ndarray, ...]:
@@ -203,24 +225,26 @@ class Trainer:
     def step(self, classes: np.ndarray, before: np.ndarray, drawn: np.ndarray) -> None:
         vectors, places, targets, bias = self.values()
         tables = vectors @ places  # what a class adds to the prediction at each place
-        predicted = _predicted(tables, before)
-        wanted, others, above = targets.take(classes, axis=0), targets[drawn], bias - self.log_noise
+        rows, others = self.predicted[: len(classes)], self.others
+        rows[:, :SIZE] = _predicted(tables, before)
+        predicted, above = rows[:, :SIZE], bias - self.log_noise
+        wanted, noise = targets.take(classes, axis=0), targets.take(drawn, axis=0)
         true = np.einsum("bt,bt->b", predicted, wanted) + above[classes]
         up = 1 / (1 + np.exp(true))
-        down = np.matmul(predicted, others.T, out=self.space[: len(classes)])
-        down += above[drawn]
-        np.negative(down, out=down)
+        np.negative(noise.T, out=others[:SIZE])
+        np.negative(above[drawn], out=others[SIZE])
+        down = np.matmul(rows, others, out=self.space[: len(classes)])
         np.exp(down, out=down)
         down += 1
         np.divide(-1, down, out=down)
-        g_predicted = down @ others
+        g_predicted = down @ noise
         g_predicted += up[:, None] * wanted
-        g_targets = _added(classes, up[:, None] * predicted, CLASSES) + _added(drawn, down.T @ predicted, CLASSES)
-        g_bias = np.bincount(classes, up, CLASSES) + np.bincount(drawn, down.sum(axis=0), CLASSES)
+        g_others = down.T @ rows
+        g_targets = _added(classes, up[:, None] * predicted, CLASSES) + _added(drawn, g_others[:, :SIZE], CLASSES)
+        g_bias = np.bincount(classes, up, CLASSES) + np.bincount(drawn, g_others[:, SIZE], CLASSES)
         # The tables' gradients hold those of vectors and places: both are linear in them.
-        g_tables = _added(
-            (before + self.table_start).ravel(), np.concatenate([g_predicted] * CONTEXT), CONTEXT * (CLASSES + 1)
-        ).reshape(CONTEXT, CLASSES + 1, SIZE)
+        g_predicted = g_predicted.astype(np.float64)
+        g_tables = np.stack([_added(b, g_predicted, CLASSES + 1) for b in before])
         g_vectors = (g_tables @ places.transpose(0, 2, 1)).sum(axis=0)
         g = [g_vectors, vectors.T @ g_tables, g_targets, g_bias]
         for x, moved, change in zip(self.values(), self.moved, g, strict=True):
@@ -236,7 +260,7 @@ class Trainer:
         with np.errstate(over="ignore"):  # a score too low for exp has a gradient of zero
             for at, noise in zip(starts, drawn, strict=True):
                 part = order[at : at + BATCH]
-                self.step(classes[part], before[:, part], noise)
+                self.step(classes.take(part), before.take(part, axis=1), noise)
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -315,7 +339,7 @@ def fit(docs: DataFrame, train_on: Column, text: str = "text") -> tuple[Model, D
     )
     if total:
         texts = materialise(_as_classes(rows, model))
-        tokens = texts.agg(F.sum(F.octet_length("codes"))).first()[0] // 2
+        tokens = texts.agg(F.sum(F.col("times") * F.octet_length("codes"))).first()[0] // 2
         slices = max(-(-tokens // SLICE_TOKENS), 1)
         for turn in range(ROUNDS):
             model = _round(texts, model, turn, slices)
@@ -323,12 +347,14 @@ def fit(docs: DataFrame, train_on: Column, text: str = "text") -> tuple[Model, D
 
 
 def _as_classes(rows: DataFrame, model: Model) -> DataFrame:
-    """``hash`` and ``codes`` (two bytes a token, the end last) of each different text."""
+    """``hash`` and ``codes`` (two bytes a token, the end last) of each different text, and
+    in ``times`` how many rows have it."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
         for batch, texts in text_chunks(batches, "_text", _CHUNK):
-            classes, _, text = sequences(shared.value, Tokens(texts), len(texts))
+            t = Tokens(texts)
+            classes, text = sequences(_find(shared.value.own, t.hash), t, len(texts))
             ends = np.searchsorted(text, np.arange(len(texts) + 1)) * 2
             raw = classes.astype("<u2").tobytes()
             codes = [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
@@ -339,11 +365,13 @@ def _as_classes(rows: DataFrame, model: Model) -> DataFrame:
     coded = rows.select(F.xxhash64("_text").alias("hash"), "_text").mapInArrow(
         released(work), "hash bigint, codes binary"
     )
-    return coded.groupBy("hash").agg(F.first("codes").alias("codes"))
+    # By the codes too: texts that only share a hash each keep their own.
+    return coded.groupBy("hash", "codes").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _round(texts: DataFrame, model: Model, turn: int, slices: int) -> Model:
-    """One pass of every slice over its texts; parameters averaged by tokens seen."""
+    """One pass of every slice over its texts, a text as often as it occurs; parameters
+    averaged by tokens seen."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def result(trainer):
@@ -378,10 +406,12 @@ def _round(texts: DataFrame, model: Model, turn: int, slices: int) -> Model:
         if trainer is not None:
             yield result(trainer)
 
-    dealt = texts.select(F.pmod("hash", F.lit(slices)).cast("int").alias("slice"), "codes", "hash")
+    copies = texts.select("hash", "codes", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")).alias("copy"))
+    by = F.when(F.col("copy") == 1, F.col("hash")).otherwise(F.xxhash64("hash", "copy"))
+    dealt = copies.select("codes", by.alias("by"), F.pmod(by, F.lit(slices)).cast("int").alias("slice"))
     # A slice to each task, whatever its number hashes to.
     dealt = dealt.repartitionById(slices, F.col("slice"))
-    dealt = dealt.sortWithinPartitions("slice", "hash").select("slice", "codes")
+    dealt = dealt.sortWithinPartitions("slice", "by", "codes").select("slice", "codes")
     got = (
         dealt.mapInArrow(released(work), "at bigint, value double, seen bigint").groupBy("at")
         .agg((F.sum("value") / F.sum("seen")).alias("value")).toArrow()  # a row per parameter
@@ -412,29 +442,32 @@ def score(
     )
 
     def work(batches):
-        m = shared.value
+        m, met = shared.value, Norms()
         for batch, texts in text_chunks(batches, "text", _CHUNK):
             n, t = len(texts), Tokens(texts)
-            at, headed = _find(m.head, t.hash)
-            own = _find(m.own, t.hash)[1]
-            logs = np.where(headed, np.log10((m.head_count[at] if len(m.head) else 0) + 1.0), 0.0)
+            # Each different word is looked up once.
+            words, which = np.unique(t.hash, return_inverse=True)
+            at, headed = _find(m.head, words)
+            logs = np.where(headed, np.log10((m.head_count[at] if len(m.head) else 0) + 1.0), 0.0).take(which)
+            headed = headed.take(which)
+            own = tuple(x.take(which) for x in _find(m.own, words))
             size = np.bincount(t.text, minlength=n)
             known = np.bincount(t.text, headed, n).astype(np.int64)
             base = np.bincount(t.text, logs, n)
-            inside = np.where(own, 0.0, logs - np.log10(m.spelling_mass + 1)[t.spelling])
+            inside = np.where(own[1], 0.0, logs - np.log10(m.spelling_mass + 1)[t.spelling])
             likely = np.bincount(t.text, inside, n)
             if m.total:
-                classes, before, of = sequences(m, t, n)
-                likely += np.bincount(of, class_log10(m, classes, before), n)
+                classes, of = sequences(own, t, n)
+                likely += np.bincount(of, class_log10(m, classes, _before(classes, of), met), n)
             rare = ~headed
-            pair = np.stack([t.text[rare].astype(np.uint64), t.hash[rare]], axis=1)
-            pair, times = np.unique(pair, axis=0, return_counts=True) if len(pair) else (pair, np.zeros(0, np.int64))
-            ends = np.searchsorted(pair[:, 0], np.arange(n + 1, dtype=np.uint64)).astype(np.int32)
+            pair, times = np.unique(t.text[rare] * len(words) + which[rare], return_counts=True)
+            of, word = np.divmod(pair, max(len(words), 1))
+            ends = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(size + 1), pa.array(known + (m.ends > 0)), pa.array(size - known),
                     pa.array(base + np.log10(m.ends + 1)), pa.array(likely),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(pair[:, 1].copy().view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(words[word].view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(times.astype(np.int64))),
                 ], ["row", *made],
             )
