@@ -160,3 +160,23 @@ def test_chunks_see_what_the_whole_series_sees(spark, lookback, ascending):
     cut = along_series(split, ["symbol"], lookback, windowed, ascending=ascending).drop(CHUNK)
     assert cut.columns == plain.columns
     assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_short_series_are_cut_to_a_day_in_the_windows_own_order(spark):
+    rng = random.Random(7)
+    parts = [
+        series([rng.choice([0.0, None, rng.uniform(1, 9), rng.uniform(1, 9)]) for _ in range(90)], s)
+        for s in "ABC"
+    ] + [series([1.0, 2.0, 3.0], "old")]
+    full, day = R.returns(bars(spark, *parts)), "2024-02-20"
+    for rows in (0, 1, 29):
+        asked = (R.with_lead_in(full, day, rows, long_series=limit) for limit in (None, 2_000_000))
+        first, second = (got(df, "symbol", "ts_utc", "return_1d") for df in asked)
+        assert first == second
+    made = R.returns(bars(spark, *parts), long_series=None)
+    shown = ("symbol", "ts_utc", "volatility")
+    risk = R.volatility(full).filter(F.col("date") >= day)
+    since = R.volatility_since(made, day, long_series=None)
+    assert got(since, *shown) == got(risk, *shown)
+    plan = since._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
