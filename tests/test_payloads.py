@@ -141,3 +141,21 @@ def test_results_do_not_depend_on_session_zone(spark, bronze):
         assert snapshot() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_rows_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tickstone.workload import bindings as B
+
+    made = spark.range(2000).select(
+        F.timestamp_seconds(F.col("id") % 900).cast("timestamp_ntz").alias("ts"), (F.col("id") % 50).alias("user_id"),
+        (F.col("id") % 7).cast("double").alias("value"), F.col("id").alias("event_id"),
+    )
+    made.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows = B.dealt_events(spark, str(tmp_path))
+    used = rows.groupBy(F.spark_partition_id()).count().count()
+    assert used >= spark.sparkContext.defaultParallelism
+    for make in (B.spot_responses, B.history_responses, B.fx_responses):
+        plain, dealt = make(spark, str(tmp_path)), make(spark, str(tmp_path), rows=rows)
+        assert plain.exceptAll(dealt).isEmpty() and dealt.count() == 2000

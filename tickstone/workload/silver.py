@@ -156,8 +156,9 @@ def parse_edge_numbers(spark, sf):
 
 def _all_items(spark, sf):
     """The parsed items of all four sources, stored once."""
-    candles = B.candle_responses(spark, sf).drop("input_file")
-    return materialise(payloads.parsed(_bronze(spark, sf).unionByName(candles)))
+    candles = B.candle_responses(spark, sf, rows=B.dealt_lines(spark, sf)).drop("input_file")
+    quotes = _bronze(spark, sf, rows=B.dealt_events(spark, sf))
+    return materialise(payloads.parsed(quotes.unionByName(candles)))
 
 
 @query("""
@@ -214,9 +215,9 @@ def parse_props_map(spark, sf):
     return rows.select("event_id", "key", number(F.col("text")).alias("amount"))
 
 
-def _bronze(spark, sf):
+def _bronze(spark, sf, rows=None):
     sources = (B.spot_responses, B.history_responses, B.fx_responses)
-    first, *rest = (make(spark, sf) for make in sources)
+    first, *rest = (make(spark, sf, rows=rows) for make in sources)
     for more in rest:
         first = first.unionByName(more)
     return first
