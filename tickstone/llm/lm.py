@@ -49,7 +49,8 @@ ROUNDS, NOISE, BATCH, RATE = 2, 64, 1024, 0.05
 SLICE_TOKENS = 4_000_000
 _RUN = 300_000  # tokens a trainer takes in hand at once
 _CHUNK = 2 << 20
-_BLOCK = 512  # contexts whose class scores stay in the processor's cache
+_PIECE = 1 << 19  # text bytes whose words are found at once: their hashes stay in the cache
+_BLOCK = 256  # contexts whose class scores stay in the processor's cache
 _NORMS = 1_000_000  # contexts whose sums a task keeps: 16 bytes each
 _HELD = 1_500_000  # distinct words a task gathers before it hands them on
 _END = 0  # class of the end; own words follow, then spellings
@@ -61,17 +62,28 @@ class Tokens:
     """The words of some texts: hash and spelling class of each."""
 
     def __init__(self, texts: Sequence[bytes]):
+        parts, start, size = [], 0, 0
+        for end, t in enumerate(texts, 1):
+            size += len(t)
+            if size >= _PIECE or end == len(texts):
+                h, text, spelling = self._of(texts[start:end])
+                parts.append((h, text + start, spelling))
+                start, size = end, 0
+        self.hash, self.text, self.spelling = (
+            (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else self._of([])
+        )
+
+    @staticmethod
+    def _of(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         words = Words([t.lower() for t in texts])  # bytes: A-Z alone
         data = np.frombuffer(words.raw, np.uint8)
-        self.hash = words.each[0]
-        self.first, self.text = words.first, words.text
         last = data[words.end - 1] if len(words.end) else np.zeros(0, dtype=np.uint8)
         kind = _KINDS[last]
-        beyond = np.concatenate([[0], np.cumsum(data >= 128)])
-        foreign = beyond[words.end] > beyond[words.start]
+        # Blanks, which are all that stands between two starts but for a word, are below 128.
+        foreign = np.maximum.reduceat(data, words.start) >= 128 if len(last) else last > 0
         size = words.end - words.start
         length = (size > 4).astype(np.int64) + (size > 9)
-        self.spelling = ((kind * 2 + foreign) * 3 + length) % SPELLINGS
+        return words.each[0], words.text, ((kind * 2 + foreign) * 3 + length) % SPELLINGS
 
 
 # What a word ends with: a letter, a digit, . , ! or ?, another sign.
@@ -118,6 +130,27 @@ def _find(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == h
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``np.unique`` returns with ``return_index`` and ``return_inverse``, for 64-bit
+    keys without sign that differ in their upper bits, as hashes do."""
+    # The places ride in the lower bits, so that plain numbers are sorted.
+    bits = np.uint64(len(keys).bit_length())
+    packed = keys >> bits << bits
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    packed &= (np.uint64(1) << bits) - np.uint64(1)
+    order = packed.view(np.int64)
+    found = keys.take(order)
+    if (found[1:] < found[:-1]).any():  # some differ in their lower bits alone
+        order = keys.argsort(kind="stable")
+        found = keys.take(order)
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    which = np.empty(len(keys), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return found[new], order[new], which
+
+
 def sequences(own: tuple[np.ndarray, np.ndarray], t: Tokens, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all tokens of ``n`` texts, each with its end; the text of each.  ``own``
     is what :func:`_find` says of the words among those with a class of their own."""
@@ -165,102 +198,140 @@ class Norms:
 def class_log10(m: Model, classes: np.ndarray, before: np.ndarray, met: Norms | None = None) -> np.ndarray:
     """Normalised log10-probability of each class after its context.  ``met`` carries over
     what was computed for earlier tokens."""
-    # The bias rides in the product: each prediction ends with a one.
-    tables = np.zeros((CONTEXT, CLASSES + 1, SIZE + 1), dtype=np.float32)
-    tables[:, :, :SIZE] = np.stack([m.vectors @ p for p in m.places])
-    tables[0, :, SIZE] = 1
-    targets = np.vstack([m.targets.T, m.bias]).astype(np.float32)
-    # Many tokens share their context, and with it the scores of all classes.
+    # A score is a sum of what each place adds to it, so its power is a product of three.
+    scores = np.stack([m.vectors @ p @ m.targets.T for p in m.places])
+    scores[0] += m.bias
+    top = scores.max(axis=2)
+    powers = np.exp(scores - top[:, :, None]).astype(np.float32)
+    # Many tokens share their context, and with it the sum over all classes.
     shape, met = (CLASSES + 1,) * CONTEXT, met or Norms()
-    kinds, of = np.unique(np.ravel_multi_index(tuple(before), shape), return_inverse=True)
-    predicted = _predicted(tables, np.stack(np.unravel_index(kinds, shape)))
+    room = np.uint64(64 - ((CLASSES + 1) ** CONTEXT).bit_length())
+    kinds, _, of = _distinct(np.ravel_multi_index(tuple(before), shape).astype(np.uint64) << room)
+    kinds = (kinds >> room).astype(np.int64)
     at, found = _find(met.contexts, kinds)
     norm = met.norm[at] if len(met.norm) else np.empty(len(kinds))
-    fresh, ones = np.flatnonzero(~found), np.ones(CLASSES, dtype=np.float32)
-    space = np.empty((_BLOCK, CLASSES), dtype=np.float32)
+    fresh = np.flatnonzero(~found)
+    space = np.empty((2, _BLOCK, CLASSES), dtype=np.float32)
     for at in range(0, len(fresh), _BLOCK):
         part = fresh[at : at + _BLOCK]
-        score = np.matmul(predicted.take(part, axis=0), targets, out=space[: len(part)])
-        top = score.max(axis=1, keepdims=True)
-        score -= top
-        np.exp(score, out=score)
-        norm[part] = top[:, 0] + np.log((score @ ones).astype(np.float64))
+        contexts = np.stack(np.unravel_index(kinds[part], shape))
+        product, more = space[:, : len(part)]
+        powers[0].take(contexts[0], axis=0, out=product, mode="clip")
+        for k in range(1, CONTEXT):
+            powers[k].take(contexts[k], axis=0, out=more, mode="clip")
+            if k < CONTEXT - 1:
+                product *= more
+        total = np.einsum("ij,ij->i", product, more).astype(np.float64)
+        low = total < 1e-20  # the tops lie apart: too little is left of the product
+        total[low] = 1
+        norm[part] = np.log(total) + sum(t.take(c) for t, c in zip(top, contexts, strict=True))
+        if low.any():
+            norm[part[low]] = np.logaddexp.reduce(_predicted(scores, contexts[:, low]), axis=1)
     met.add(kinds[fresh], norm[fresh])
-    out, wanted = np.empty(len(classes)), np.ascontiguousarray(targets.T)
-    for at in range(0, len(classes), 64 * _BLOCK):
-        part = slice(at, at + 64 * _BLOCK)
-        chosen = np.einsum("ij,ij->i", predicted.take(of[part], axis=0), wanted.take(classes[part], axis=0))
-        out[part] = chosen - norm[of[part]]
+    out = -norm.take(of)
+    for k in range(CONTEXT):
+        out += scores[k].ravel().take(before[k] * CLASSES + classes)
     return out / np.log(10)
 
 
-_CELLS = np.arange((CLASSES + 1) * SIZE).reshape(-1, SIZE)
-
-
-def _added(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """``values``, of ``SIZE`` columns, summed by row number, ``n`` rows."""
-    at = _CELLS.take(rows, axis=0).ravel()
-    return np.bincount(at, values.ravel(), n * SIZE).reshape(n, SIZE)
+# Where rows of ``SIZE`` are added up, two neighbouring numbers go as one complex number.
+_CELLS = np.arange((CLASSES + 1) * CONTEXT * SIZE // 2).reshape(-1, SIZE // 2)
 
 
 class Trainer:
     """Noise-contrastive steps with a rate per parameter that falls as it moves."""
 
     def __init__(self, m: Model, seed: int):
-        self.m = m.with_parameters(m.parameters().copy())
-        self.m = self.m.with_parameters(self.m.parameters().astype(np.float32))
+        self.flat = m.parameters().astype(np.float32)
+        self.m = m.with_parameters(self.flat)  # views: they follow ``flat``
         self.noise = (m.class_count + 1) / (m.class_count + 1).sum()
         self.log_noise = np.log(NOISE * self.noise).astype(np.float32)
         self.rng = np.random.default_rng(seed)
-        self.moved = [np.full(x.shape, 1e-2) for x in self.values()]
+        self.moved = np.full(len(self.flat), 1e-2)
+        self.gradient = np.empty(len(self.flat))
+        self.g = m.with_parameters(self.gradient)
+        # What a step computes is written where the step before had it.
+        self.tables = np.empty((CLASSES + 1, CONTEXT * SIZE), dtype=np.float32)
+        self.g_tables = np.empty((CLASSES + 1, CONTEXT * SIZE))
         # The bias rides in the products: each prediction ends with a one.
-        self.space = np.empty((BATCH, NOISE), dtype=np.float32)
         self.predicted = np.ones((BATCH, SIZE + 1), dtype=np.float32)
-        self.others = np.empty((SIZE + 1, NOISE), dtype=np.float32)
+        self.space = np.empty(BATCH * NOISE, dtype=np.float32)
+        self.places = np.empty((CONTEXT, BATCH, SIZE), dtype=np.float32)
+        self.wanted = np.empty((BATCH, SIZE), dtype=np.float32)
+        self.exact = np.empty((BATCH, SIZE))
+        self.cells = np.empty((BATCH, SIZE // 2), dtype=np.int64)
+        self.change = np.empty((2, len(self.flat)))
         self.seen = 0
 
-    def values(self) -> tuple[np.ndarray, ...]:
-        return self.m.vectors, self.m.places, self.m.targets, self.m.bias
-
-    def step(self, classes: np.ndarray, before: np.ndarray, drawn: np.ndarray) -> None:
-        vectors, places, targets, bias = self.values()
-        tables = vectors @ places  # what a class adds to the prediction at each place
-        rows, others = self.predicted[: len(classes)], self.others
-        rows[:, :SIZE] = _predicted(tables, before)
-        predicted, above = rows[:, :SIZE], bias - self.log_noise
-        wanted, noise = targets.take(classes, axis=0), targets.take(drawn, axis=0)
-        true = np.einsum("bt,bt->b", predicted, wanted) + above[classes]
-        up = 1 / (1 + np.exp(true))
-        np.negative(noise.T, out=others[:SIZE])
-        np.negative(above[drawn], out=others[SIZE])
-        down = np.matmul(rows, others, out=self.space[: len(classes)])
+    def add(self, out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+        """Add each row of ``values`` to the row of ``out`` that ``rows`` names."""
+        at = _CELLS.take(rows, axis=0, out=self.cells[: len(rows)], mode="clip")
+        np.add.at(out.ravel().view(np.complex128), at.ravel(), values.ravel().view(np.complex128))
+
+    def step(self, classes: np.ndarray, before: np.ndarray, drawn: np.ndarray, times: np.ndarray) -> None:
+        """``before``: rows of the tables; ``drawn``: different classes, each ``times`` times."""
+        n, m, g, g_tables = len(classes), self.m, self.g, self.g_tables
+        # What a class adds to the prediction: a row for each class and place.
+        np.matmul(m.vectors, m.places.transpose(1, 0, 2).reshape(SIZE, -1), out=self.tables)
+        places, wanted, exact = self.places[:, :n], self.wanted[:n], self.exact[:n]
+        for at, out in zip(before, places, strict=True):
+            self.tables.reshape(-1, SIZE).take(at, axis=0, out=out, mode="clip")
+        predicted = places[0]
+        for out in places[1:]:
+            predicted += out
+        rows, above = self.predicted[:n], m.bias - self.log_noise
+        rows[:, :SIZE] = predicted
+        m.targets.take(classes, axis=0, out=wanted, mode="clip")
+        up = 1 / (1 + np.exp(np.einsum("bt,bt->b", predicted, wanted) + above.take(classes)))
+        # A class drawn more than once is computed once and counts as often as drawn.
+        noise = m.targets.take(drawn, axis=0)
+        others = -np.vstack([noise.T, above.take(drawn)])
+        down = np.matmul(rows, others, out=self.space[: n * len(drawn)].reshape(n, -1))
         np.exp(down, out=down)
         down += 1
         np.divide(-1, down, out=down)
-        g_predicted = down @ noise
-        g_predicted += up[:, None] * wanted
-        g_others = down.T @ rows
-        g_targets = _added(classes, up[:, None] * predicted, CLASSES) + _added(drawn, g_others[:, :SIZE], CLASSES)
-        g_bias = np.bincount(classes, up, CLASSES) + np.bincount(drawn, g_others[:, SIZE], CLASSES)
+        g_others = (down.T @ rows) * times[:, None].astype(np.float64)
+        np.multiply(up[:, None], predicted, out=exact)
+        g.targets[:] = 0
+        self.add(g.targets, classes, exact)
+        g.targets[drawn] += g_others[:, :SIZE]
+        g.bias[:] = np.bincount(classes, up, CLASSES)
+        g.bias[drawn] += g_others[:, SIZE]
+        wanted *= up[:, None]
+        g_predicted = np.matmul(down, noise * times[:, None].astype(np.float32), out=places[1])
+        np.add(g_predicted, wanted, out=exact)
         # The tables' gradients hold those of vectors and places: both are linear in them.
-        g_predicted = g_predicted.astype(np.float64)
-        g_tables = np.stack([_added(b, g_predicted, CLASSES + 1) for b in before])
-        g_vectors = (g_tables @ places.transpose(0, 2, 1)).sum(axis=0)
-        g = [g_vectors, vectors.T @ g_tables, g_targets, g_bias]
-        for x, moved, change in zip(self.values(), self.moved, g, strict=True):
-            change = change / len(classes)
-            moved += change**2
-            x += RATE * change / np.sqrt(moved)
-        self.seen += len(classes)
+        g_tables[:] = 0
+        for at in before:
+            self.add(g_tables, at, exact)
+        np.matmul(g_tables, m.places.transpose(0, 2, 1).reshape(-1, SIZE).astype(np.float64), out=g.vectors)
+        g_places = m.vectors.T.astype(np.float64) @ g_tables
+        g.places[:] = g_places.reshape(SIZE, CONTEXT, SIZE).transpose(1, 0, 2)
+        change, root = self.change
+        np.divide(self.gradient, n, out=change)
+        np.square(change, out=root)
+        self.moved += root
+        np.sqrt(self.moved, out=root)
+        change *= RATE
+        change /= root
+        self.flat += change
+        self.seen += n
 
     def run(self, classes: np.ndarray, before: np.ndarray) -> None:
         order = self.rng.permutation(len(classes))
         starts = range(0, len(order), BATCH)
-        drawn = self.rng.choice(CLASSES, (len(starts), NOISE), p=self.noise)
+        drawn = np.sort(self.rng.choice(CLASSES, (len(starts), NOISE), p=self.noise), axis=1)
+        first = np.flatnonzero(np.diff(drawn, axis=1, prepend=-1))
+        drawn, times = drawn.ravel()[first], np.diff(first, append=drawn.size)
+        ends = np.searchsorted(first, np.arange(len(starts) + 1) * NOISE)
+        # Class and table rows side by side: one look-up for each token.
+        tokens = np.empty((len(classes), 1 + CONTEXT), dtype=np.uint16)
+        tokens[:, 0], tokens[:, 1:] = classes, before.T * CONTEXT + np.arange(CONTEXT)
         with np.errstate(over="ignore"):  # a score too low for exp has a gradient of zero
-            for at, noise in zip(starts, drawn, strict=True):
-                part = order[at : at + BATCH]
-                self.step(classes.take(part), before.take(part, axis=1), noise)
+            for k, at in enumerate(starts):
+                part = tokens.take(order[at : at + BATCH], axis=0).T.astype(np.int64, order="C")
+                noise = slice(ends[k], ends[k + 1])
+                self.step(part[0], part[1:], drawn[noise], times[noise])
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -272,7 +343,7 @@ def _counted(rows: DataFrame) -> DataFrame:
 
         def merged(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             h, s, n = (np.concatenate(c) for c in zip(*parts, strict=True))
-            keys, at, where = np.unique(h, return_index=True, return_inverse=True)
+            keys, at, where = _distinct(h)
             return keys, s[at], np.bincount(where, n, len(keys)).astype(np.int64)
 
         def batch_of(h, s, n):
@@ -446,7 +517,7 @@ def score(
         for batch, texts in text_chunks(batches, "text", _CHUNK):
             n, t = len(texts), Tokens(texts)
             # Each different word is looked up once.
-            words, which = np.unique(t.hash, return_inverse=True)
+            words, _, which = _distinct(t.hash)
             at, headed = _find(m.head, words)
             logs = np.where(headed, np.log10((m.head_count[at] if len(m.head) else 0) + 1.0), 0.0).take(which)
             headed = headed.take(which)
